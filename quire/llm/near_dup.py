@@ -160,12 +160,27 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _residual(members: DataFrame, labels: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that its hub's links leave in two components, and that signatures don't rule out.
+def _low_bits(sets: DataFrame) -> DataFrame:
+    """(id, low): the low 16 bits of each shingle hash, as many as the set has."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = [np.frombuffer(x.as_buffer(), np.uint64).astype("<u2").tobytes() for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low, pa.binary())], ["id", "low"])
+
+    return sets.mapInArrow(cut, "id long, low binary")
+
+
+def _residual(members: DataFrame, labels: DataFrame, signs: DataFrame, sets: DataFrame, refuted: DataFrame, percent: int) -> DataFrame:
+    """Pairs that would join what a bucket's hub left in two components: a forest of each block, not all its pairs.
 
     ``members``: band, key, id, hub and n (of the bucket). Every pair has an end
     outside the hub's component; these ends meet all members, block by block,
-    and a pair is made by the first band that both share.
+    each pair in the first band that both share. Signatures rule out most pairs.
+    Shared low bits of the shingles bound the rest's intersections from above, so
+    no link is ruled out; a pair that the bound lets pass joins its ends'
+    components in the block, and later pairs inside one component aren't made.
+    ``refuted`` holds pairs that passed before and failed on full sets.
     """
     of = labels.select("id", "label")
     m = members.join(of, "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -177,8 +192,15 @@ def _residual(members: DataFrame, labels: DataFrame, signs: DataFrame, percent:
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     probes = outside.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("probe", F.lit(True))
     all_ = m.join(open_, ["band", "key"], "left_semi").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("probe", F.lit(False))
-    names = ["band", "key", "block", "id", "label", "n", "probe"]
-    rows = probes.select(names).union(all_.select(names)).join(signs.select(F.col("doc_id").alias("id"), "n_shingles", "bands", "sig"), "id")
+    names = ["band", "key", "block", "id", "label", "probe"]
+    both = refuted.select("a", "b").union(refuted.select("b", "a"))
+    never = both.groupBy(F.col("a").alias("id")).agg(F.collect_list("b").alias("never"))
+    rows = probes.select(names).union(all_.select(names))
+    of_open = all_.select(F.col("id").alias("doc_id")).distinct()
+    details = signs.select("doc_id", "n_shingles", "bands", "sig").join(of_open, "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
+    low = _low_bits(sets.join(of_open, "doc_id", "left_semi"))
+    details = materialise(details.join(low, "id").join(never, "id", "left"), "dup-details")
+    rows = rows.join(details, "id")
     j = percent / 100
     least = j - MARGIN * float(np.sqrt(j * (1 - j) / PLACES))
 
@@ -187,18 +209,34 @@ def _residual(members: DataFrame, labels: DataFrame, signs: DataFrame, percent:
         if not table.num_rows:
             return
         probe = table["probe"].to_numpy(zero_copy_only=False)
-        ids, labels_, n = table["id"].to_numpy(), table["label"].to_numpy(), table["n_shingles"].to_numpy()
+        ids, component, n = table["id"].to_numpy(), table["label"].to_numpy().copy(), table["n_shingles"].to_numpy()
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u2").reshape(-1, PLACES)
         bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        sets_ = [np.frombuffer(x, "<u2") for x in table["low"].to_pylist()]
+        never_ = table["never"].to_pylist()
         to, band = np.flatnonzero(~probe), int(table["band"][0].as_py())
         out_a, out_b = [], []
         for i in np.flatnonzero(probe):
-            near = to[(labels_[to] != labels_[i]) & (100 * np.minimum(n[to], n[i]) >= percent * np.maximum(n[to], n[i]))]
+            near = to[(component[to] != component[i]) & (100 * np.minimum(n[to], n[i]) >= percent * np.maximum(n[to], n[i]))]
             near = near[(sig[near] == sig[i]).mean(1) >= least]
             near = near[~(bands[near, :band] == bands[i, :band]).any(1)]
-            out_a.append(np.minimum(ids[near], ids[i])), out_b.append(np.maximum(ids[near], ids[i]))
-        a, b = np.concatenate([np.zeros(0, np.int64), *out_a]), np.concatenate([np.zeros(0, np.int64), *out_b])
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            if never_[i]:
+                near = near[~np.isin(ids[near], never_[i])]
+            if not len(near):
+                continue
+            held = np.zeros(1 << 16, bool)
+            held[sets_[i]] = True
+            sizes = n[near]
+            shared = np.add.reduceat(held[np.concatenate([sets_[k] for k in near])].astype(np.int64), np.cumsum(sizes) - sizes)
+            shared = np.minimum(shared, np.minimum(sizes, n[i]))
+            near = near[100 * shared >= percent * (sizes + n[i] - shared)]
+            while len(near):
+                k = near[0]
+                out_a.append(min(ids[k], ids[i]))
+                out_b.append(max(ids[k], ids[i]))
+                component[component == component[k]] = component[i]
+                near = near[component[near] != component[i]]
+        yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
     return rows.groupBy("band", "key", "block").applyInArrow(compare, "a long, b long").distinct()
 
@@ -221,10 +259,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     slim = docs.select(docs[f"`{doc_id}`"].cast("long").alias("doc_id"), docs[f"`{text}`"].cast("string").alias("text"))
     sets = materialise(_sets(slim.join(needed, "doc_id", "left_semi"), words_per_shingle).distinct(), "dup-sets")
     links = materialise(_verified(pairs, sets, percent), "dup-links")
-    labels = components(links)
-    rest = materialise(_residual(members, labels, reps, percent), "dup-rest")
-    if rest.limit(1).count():
-        links = links.union(_verified(rest.join(pairs, ["a", "b"], "left_anti"), sets, percent))
+    refuted = pairs.join(links, ["a", "b"], "left_anti")
+    while True:
+        rest = materialise(_residual(members, components(links), reps, sets, refuted, percent), "dup-rest")
+        if rest.limit(1).count() == 0:
+            break
+        more = materialise(_verified(rest, sets, percent), "dup-links")
+        failed = materialise(rest.join(more, ["a", "b"], "left_anti"), "dup-refuted")
+        links = links.union(more)
+        if failed.limit(1).count() == 0:
+            break  # each block's forest stands, so nothing in it is left apart
+        refuted = refuted.union(failed)
     # Rows of one doc_id with different texts: the classes of the others join the smallest.
     shared_ids = full.select("doc_id", "f1", "f2", "n_shingles").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     split = full.join(shared_ids, "doc_id", "left_semi").join(classes, ["f1", "f2", "n_shingles"]).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
