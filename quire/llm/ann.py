@@ -185,8 +185,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id
     if short.limit(1).count() == 0:
         return result
     n_blocks = -(-classes.count() // BUCKET_ROWS)
-    at = lambda df, salt: df.select("*", F.lit(-1).alias("t"), F.lit(0).cast("long").alias("key"), salt.cast("int").alias("salt"))
-    index = at(classes, F.pmod(F.xxhash64("first"), F.lit(n_blocks)))
+    at = lambda df, salt: df.select("*", F.lit(-1).alias("t"), F.lit(0).cast("long").alias("key"), salt.alias("salt"))
+    index = at(classes, F.pmod(F.xxhash64("first"), F.lit(n_blocks)).cast("int"))
     again = _ranked(_meet(both(index, at(short, F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks - 1, 0)))))), k), k)
     full = result.join(short.select(F.col("first").alias("query_id")), "query_id", "left_anti")
     return full.select("query_id", "rank", "vec_id", "score").union(again)
