@@ -160,15 +160,15 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _low_bits(sets: DataFrame) -> DataFrame:
-    """(id, low): the low 16 bits of each shingle hash, as many as the set has."""
+def _halves(sets: DataFrame) -> DataFrame:
+    """(id, half): the high 32 bits of each shingle hash, in order, as many as the set has."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low = [np.frombuffer(x.as_buffer(), np.uint64).astype("<u2").tobytes() for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low, pa.binary())], ["id", "low"])
+            half = [np.frombuffer(x.as_buffer(), "<u4")[1::2].tobytes() for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(half, pa.binary())], ["id", "half"])
 
-    return sets.mapInArrow(cut, "id long, low binary")
+    return sets.mapInArrow(cut, "id long, half binary")
 
 
 def _residual(members: DataFrame, labels: DataFrame, signs: DataFrame, sets: DataFrame, refuted: DataFrame, percent: int) -> DataFrame:
@@ -177,10 +177,11 @@ def _residual(members: DataFrame, labels: DataFrame, signs: DataFrame, sets: Dat
     ``members``: band, key, id, hub and n (of the bucket). Every pair has an end
     outside the hub's component; these ends meet all members, block by block,
     each pair in the first band that both share. Signatures rule out most pairs.
-    Shared low bits of the shingles bound the rest's intersections from above, so
-    no link is ruled out; a pair that the bound lets pass joins its ends'
-    components in the block, and later pairs inside one component aren't made.
-    ``refuted`` holds pairs that passed before and failed on full sets.
+    Shared halves of the shingles' hashes bound the rest's intersections from above,
+    first by 16 bits of them and then by all, so no link is ruled out; a pair that
+    the bound lets pass joins its ends' components in the block, and later pairs
+    inside one component aren't made. ``refuted`` holds pairs that passed before
+    and failed on full sets. Returns a, b and the bucket (band, key) of each pair.
     """
     of = labels.select("id", "label")
     m = members.join(of, "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -198,8 +199,8 @@ def _residual(members: DataFrame, labels: DataFrame, signs: DataFrame, sets: Dat
     rows = probes.select(names).union(all_.select(names))
     of_open = all_.select(F.col("id").alias("doc_id")).distinct()
     details = signs.select("doc_id", "n_shingles", "bands", "sig").join(of_open, "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
-    low = _low_bits(sets.join(of_open, "doc_id", "left_semi"))
-    details = materialise(details.join(low, "id").join(never, "id", "left"), "dup-details")
+    halves = _halves(sets.join(of_open, "doc_id", "left_semi"))
+    details = materialise(details.join(halves, "id").join(never, "id", "left"), "dup-details")
     rows = rows.join(details, "id")
     j = percent / 100
     least = j - MARGIN * float(np.sqrt(j * (1 - j) / PLACES))
@@ -212,9 +213,10 @@ def _residual(members: DataFrame, labels: DataFrame, signs: DataFrame, sets: Dat
         ids, component, n = table["id"].to_numpy(), table["label"].to_numpy().copy(), table["n_shingles"].to_numpy()
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u2").reshape(-1, PLACES)
         bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-        sets_ = [np.frombuffer(x, "<u2") for x in table["low"].to_pylist()]
+        sets_ = [np.frombuffer(x.as_buffer(), "<u4") for x in table["half"]]
         never_ = table["never"].to_pylist()
-        to, band = np.flatnonzero(~probe), int(table["band"][0].as_py())
+        low = [x.astype(np.uint16) for x in sets_]
+        to, band, bucket = np.flatnonzero(~probe), int(table["band"][0].as_py()), table["key"][0].as_py()
         out_a, out_b = [], []
         for i in np.flatnonzero(probe):
             near = to[(component[to] != component[i]) & (100 * np.minimum(n[to], n[i]) >= percent * np.maximum(n[to], n[i]))]
@@ -225,20 +227,26 @@ def _residual(members: DataFrame, labels: DataFrame, signs: DataFrame, sets: Dat
             if not len(near):
                 continue
             held = np.zeros(1 << 16, bool)
-            held[sets_[i]] = True
+            held[low[i]] = True
             sizes = n[near]
-            shared = np.add.reduceat(held[np.concatenate([sets_[k] for k in near])].astype(np.int64), np.cumsum(sizes) - sizes)
+            shared = np.add.reduceat(held[np.concatenate([low[k] for k in near])].astype(np.int64), np.cumsum(sizes) - sizes)
             shared = np.minimum(shared, np.minimum(sizes, n[i]))
             near = near[100 * shared >= percent * (sizes + n[i] - shared)]
             while len(near):
                 k = near[0]
+                x, y = sets_[i], sets_[k]
+                same = min(int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()), len(y))
+                if 100 * same < percent * (len(x) + len(y) - same):
+                    near = near[1:]
+                    continue
                 out_a.append(min(ids[k], ids[i]))
                 out_b.append(max(ids[k], ids[i]))
                 component[component == component[k]] = component[i]
                 near = near[component[near] != component[i]]
-        yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
+        of_bucket = [pa.array([x] * len(out_a), t) for x, t in ((band, pa.int32()), (bucket, pa.int64()))]
+        yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64()), *of_bucket], ["a", "b", "band", "key"])
 
-    return rows.groupBy("band", "key", "block").applyInArrow(compare, "a long, b long").distinct()
+    return rows.groupBy("band", "key", "block").applyInArrow(compare, "a long, b long, band int, key long")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words_per_shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -264,12 +272,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         rest = materialise(_residual(members, components(links), reps, sets, refuted, percent), "dup-rest")
         if rest.limit(1).count() == 0:
             break
-        more = materialise(_verified(rest, sets, percent), "dup-links")
+        more = materialise(_verified(rest.select("a", "b").distinct(), sets, percent), "dup-links")
         failed = materialise(rest.join(more, ["a", "b"], "left_anti"), "dup-refuted")
         links = links.union(more)
         if failed.limit(1).count() == 0:
             break  # each block's forest stands, so nothing in it is left apart
-        refuted = refuted.union(failed)
+        refuted = refuted.union(failed.select("a", "b").distinct())
+        # The forests of all other buckets stand.
+        members = members.join(failed.select("band", "key").distinct(), ["band", "key"], "left_semi")
     # Rows of one doc_id with different texts: the classes of the others join the smallest.
     shared_ids = full.select("doc_id", "f1", "f2", "n_shingles").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     split = full.join(shared_ids, "doc_id", "left_semi").join(classes, ["f1", "f2", "n_shingles"]).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
