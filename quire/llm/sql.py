@@ -5,7 +5,7 @@ from quire.llm.quality import RULES, STOP_WORDS
 
 _W = r"[^\x20\x09-\x0D]+"
 _STOPS = ", ".join(f"'{form}'" for w in STOP_WORDS for form in dict.fromkeys((w, w.capitalize(), w.upper())))
-_RULES = " AND ".join(f"({r.metric}) BETWEEN {r.low} AND {r.high}" for r in RULES).replace("if(", "if(")
+_RULES = " AND ".join(f"({r.metric}) BETWEEN {r.low} AND {r.high}" for r in RULES)
 
 QUALITY = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
