@@ -34,7 +34,7 @@ from quire.llm.spans import Memo, runs, text_buffer, word_spans
 MAX_TOKENS, MAX_SEGMENTS = 2048, 256
 BLOCK_TOKENS = 1 << 20
 END_ID = 1
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 #: Outside Latin-1, not in composed form alone, or a control on which libraries differ about white space.
 UNUSUAL = re.compile(r"[^\x00-\x1B\x20-\x84\x86-\x9F\xA1-\xFF]").search
 # The pattern of the word-level pre-tokenizer, for lower-case Latin-1 text.
@@ -224,7 +224,7 @@ def packed(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
             schema = schema or pa.schema([("doc_id", batch.schema.field(0).type)] + [(c, pa.int64()) for c in ("start", "length")] + [("ids", pa.binary())] + [(c, pa.int64()) for c in ("doc_tokens", "loss_tokens", "sequence_id", "offset")])
             data, at = text_buffer(batch.column(1))
             names = batch.column(0).to_pylist()
-            for a, b in runs(at, 4 << 20):
+            for a, b in runs(at):
                 for i, found in enumerate(encoder.encode(data[at[a] : at[b]], at[a : b + 1] - at[a]), a):
                     ids.append(np.append(found, end))
                     keys.append(names[i])
