@@ -63,38 +63,44 @@ def hierarchy(entries: DataFrame) -> DataFrame:
 
 
 def monotonic_starts(entries: DataFrame) -> DataFrame:
-    """``start_page``: strictly increasing pages of least cost by dynamic programming.
+    """``start_page``: non-decreasing pages of least cost by dynamic programming.
 
     A skipped entry costs SKIP_COST, a candidate its rank, a change of the
-    printed offset within a role 1. Entries of a document depend on all before,
-    so a document's contents are one group; contents, not texts, are gathered.
+    printed offset within a role its absolute size. Every (page, offset, role)
+    state is kept; equal costs go to the path whose first missing entry comes
+    later, then to the smaller last page. Entries of a document depend on all
+    before, so a document's contents are one group; contents, not texts, are gathered.
     """
 
     def assign(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("entry_index")
-        states: list[tuple[float, int, tuple[object, int] | None, list[int | None]]] = [(0.0, 0, None, [])]
-        for candidates, printed, role in zip(pdf["candidates"], pdf["printed_page"], pdf["role"], strict=True):
-            step: dict[tuple[int, tuple[object, int] | None], tuple[float, list[int | None]]] = {}
-
-            def offer(page: int, offset: tuple[object, int] | None, cost: float, path: list[int | None], step: dict = step) -> None:
-                if (page, offset) not in step or cost < step[page, offset][0]:
-                    step[page, offset] = (cost, path)
-
-            for cost, page, offset, path in states:
-                offer(page, offset, cost + SKIP_COST, [*path, None])
-                for rank, p in enumerate(candidates if candidates is not None else []):
-                    if p <= page:
+        # (page, offset, role) -> (cost, bits of missing entries with the first on top, (earlier link, position, page))
+        states: dict[tuple[int | None, int | None, object], tuple[float, int, tuple | None]] = {(None, None, None): (0.0, 0, None)}
+        for at, (candidates, printed, role) in enumerate(zip(pdf["candidates"], pdf["printed_page"], pdf["role"], strict=True)):
+            label = None if printed is None or pd.isna(printed) else int(printed)
+            offers = [(rank, int(p), None if label is None else int(p) - label) for rank, p in enumerate(candidates if candidates is not None else [])]
+            offers = [(rank, p, own) for rank, p, own in offers if own is None or abs(own) <= MAX_OFFSET]
+            step: dict[tuple[int | None, int | None, object], tuple[float, int, tuple | None]] = {}
+            for (page, offset, last_role), (cost, missing, link) in states.items():
+                key, total, bits = (page, offset, last_role), cost + SKIP_COST, missing << 1 | 1
+                kept = step.get(key)
+                if kept is None or (total, bits) < kept[:2]:
+                    step[key] = (total, bits, link)
+                active, bits = offset if last_role == role else None, missing << 1
+                for rank, p, own in offers:
+                    if page is not None and p < page:
                         continue
-                    own = offset
-                    more = 0.0
-                    if printed is not None and not pd.isna(printed):
-                        own = (role, int(p - printed))
-                        if abs(own[1]) > MAX_OFFSET:
-                            continue
-                        more = float(offset is not None and offset[0] == role and offset != own)
-                    offer(int(p), own, cost + rank + more, [*path, int(p)])
-            states = sorted(((c, p, o, path) for (p, o), (c, path) in step.items()), key=lambda s: (s[0], s[1]))[:512]
-        best = states[0][3] if states else []
+                    total = cost + rank + (abs(own - active) if own is not None and active is not None else 0)
+                    key = (p, active if own is None else own, role)
+                    kept = step.get(key)
+                    if kept is None or (total, bits) < kept[:2]:
+                        step[key] = (total, bits, (link, at, p))
+            states = step
+        best: list[int | None] = [None] * len(pdf)
+        link = min(states.items(), key=lambda s: (*s[1][:2], s[0][0] or 0))[1][2]
+        while link is not None:
+            link, at, page = link
+            best[at] = page
         return pd.DataFrame({"doc_id": pdf["doc_id"], "entry_index": pdf["entry_index"], "start_page": pd.array(best, "Int64")})
 
     kind = entries.schema["doc_id"].dataType.simpleString()

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +92,41 @@ def test_skeleton(spark):
     assert [r["e"] and (r["e"]["title"], r["e"]["page_label"]) for r in lines.collect()] == [("One", "12"), ("Intro", "iv"), None]
 
 
+def start_cost(entries, path):
+    """(cost, missing entries, last page) of a path through (role, printed page, candidates), or None if it may not be taken."""
+    cost, last, active = 0, None, (None, None)
+    for (role, printed, candidates), page in zip(entries, path, strict=True):
+        if page is None:
+            cost += 24
+            continue
+        own = None if printed is None else page - printed
+        before = active[1] if active[0] == role else None
+        if (last is not None and page < last) or (own is not None and abs(own) > 128):
+            return None
+        cost += candidates.index(page) + (abs(own - before) if own is not None and before is not None else 0)
+        last, active = page, (role, before if own is None else own)
+    return cost, [p is None for p in path], last or 0
+
+
+def test_starts_brute_force(spark):
+    rng = random.Random(3)
+    docs = [[(rng.choice("ab"), rng.choice([None, rng.randint(1, 40)]), rng.sample(range(1, 60), rng.randint(0, 3))) for _ in range(5)] for _ in range(40)]
+    docs.append([("a", 1, [9]), ("a", 1, [9]), ("a", 2, [3, 40])])  # equal pages; an offset change of 30 costs more than a skip
+    # 600 descending pages of which one may be taken, or none and all three entries behind them
+    docs.append([("a", None, [5000 - 2 * i, 4999 - 2 * i]) for i in range(300)] + [("a", None, [p]) for p in (1, 2, 3)])
+    rows = [(d, i, *entry) for d, entries in enumerate(docs) for i, entry in enumerate(entries)]
+    e = spark.createDataFrame(rows, "doc_id long, entry_index long, role string, printed_page long, candidates array<long>")
+    got = {}
+    for r in skeleton.monotonic_starts(e).orderBy("doc_id", "entry_index").collect():
+        got.setdefault(r["doc_id"], []).append(r["start_page"])
+    for d, entries in enumerate(docs):
+        paths = [[]]
+        for k in range(len(entries)):
+            paths = [[*path, page] for path in paths for page in (None, *entries[k][2]) if page is None or page >= next((p for p in reversed(path) if p is not None), 0)]
+        assert start_cost(entries, got[d]) == min(c for c in (start_cost(entries, path) for path in paths) if c), d
+    assert got[40] == [9, 9, None] and got[41] == [None] * 300 + [1, 2, 3]
+
+
 def test_graph_and_constraints(spark):
     units = spark.createDataFrame([("d", 5, "u1", "heading", "A", 1, [0.0, 0.0, 1.0, 1.0]), ("d", 7, "u2", "paragraph", "B", 2, None)], "doc_id string, ord long, unit_id string, unit_type string, text string, page long, bbox array<double>")
     g = graph.records(units)
