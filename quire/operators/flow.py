@@ -1,4 +1,10 @@
-"""Ordered passes over a document's units, where a merged row meets the next one.
+"""One ordered pass over a document's units, where a merged row meets the next one (R6-R9 in part).
+
+Built are the joins that texts and page numbers alone decide. Without boxes, page
+layout and bridge pages there is no boundary evidence, so a paragraph without a
+final mark takes the next page's first one and neighbouring displays are joined
+unproven; paragraphs over bridge pages, footnotes of one page, the tail in a
+footnote's lane and R10's audit events are missing.
 
 Units: doc_id, ord, unit_type, text, page. A unit's fate depends on what was
 merged before it, so each document is one ordered pass (``applyInPandas``); what
@@ -13,38 +19,50 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 _ENDS = re.compile(r"[.!?。！？…:：;；\"'”’」』)）]\s*$")
-_CARRIES = re.compile(r"[（(]?\s*接(?:下|上)页\s*[）)]?")
+_EDGE = r"\s，,。.：:；;、—-"
+_DOWN = re.compile(rf"(?:\s*(?:（接下页）|\(接下页\)|【接下页】|\[接下页\])|^接下页|\s+接下页|(?<=[{_EDGE}])接下页)\s*$")
+_UP = re.compile(rf"^\s*(?:（接上页）|\(接上页\)|【接上页】|\[接上页\]|接上页(?=$|[{_EDGE}]))\s*")
 
 
 def reconcile(units: DataFrame) -> DataFrame:
     """Merged units: doc_id, unit_no, unit_type, text, first_page, last_page, n_merged.
 
     A paragraph without a terminal mark takes the next page's first paragraph, a
-    footnote that says it goes on takes the next footnote, and neighbouring
-    displays over a page break are one. Footnotes and figures between the halves
+    footnote that ends in a mark for the next page takes the first one there
+    that begins with a mark for the page before, whatever lies between, and
+    neighbouring displays over a page break are one. Footnotes and figures between the halves
     of a paragraph don't part it.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out: list[dict[str, object]] = []
         last: dict[str, int] = {}
+        going_on: set[int] = set()  # footnotes that end in a mark for the next page
         for doc_id, kind, text, page in pdf.sort_values("ord")[["doc_id", "unit_type", "text", "page"]].itertuples(index=False):
             at = last.get(kind)
+            if _UP.search(text):
+                waiting = [k for k in going_on if out[k]["last_page"] == page - 1]
+                if kind == "footnote":
+                    at = min(waiting, default=None)
+                else:
+                    going_on.difference_update(waiting)
             before = out[at] if at is not None else None
             joined = None
             if before is not None and page - before["last_page"] == 1:
                 between = {u["unit_type"] for u in out[at + 1 :]}
                 if kind == "paragraph" and between <= {"footnote", "figure"} and not _ENDS.search(before["text"]):
                     joined = before["text"] + text
-                elif kind == "footnote" and not between & {"paragraph", "heading"} and _CARRIES.search(before["text"] + text):
-                    joined = _CARRIES.sub("", before["text"]) + _CARRIES.sub("", text)
+                elif kind == "footnote" and at in going_on and _UP.search(text):
+                    joined = _DOWN.sub("", before["text"]) + "\n" + _UP.sub("", text)
                 elif kind == "display_block" and not between:
                     joined = before["text"] + "\n" + text
             if joined is not None:
                 before |= {"text": joined, "last_page": page, "n_merged": before["n_merged"] + 1}
             else:
-                last[kind] = len(out)
+                at = last[kind] = len(out)
                 out.append({"doc_id": doc_id, "unit_type": kind, "text": text, "first_page": page, "last_page": page, "n_merged": 1})
+            if kind == "footnote":
+                (going_on.add if _DOWN.search(out[at]["text"]) else going_on.discard)(at)
         for n, unit in enumerate(out, 1):
             unit["unit_no"] = n
         return pd.DataFrame(out, columns=["doc_id", "unit_no", "unit_type", "text", "first_page", "last_page", "n_merged"])

@@ -409,6 +409,6 @@ def canonical_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query()
 def flow_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R6-R10."""
+    """R6-R9 in part: what texts and page numbers alone decide."""
     u = D.observations(spark, sf_dir).select("doc_id", "ord", F.expr("CASE WHEN n % 9 = 0 THEN 'footnote' WHEN n % 9 = 1 THEN 'display_block' ELSE 'paragraph' END").alias("unit_type"), F.col("line").alias("text"), "page")
     return flow.reconcile(u)

@@ -143,6 +143,16 @@ def test_flow_joins_over_pages(spark):
     assert [r["text"] for r in got.collect()] == ["An open end.", "1 note.", "Next.", "Apart."]
 
 
+def test_footnotes_need_both_marks(spark):
+    pairs = [("1 a（接下页）", "（接上页）b"), ("1 a 接下页", "2 b"), ("1 a", "接上页 b"), ("1 see 接下页 there", "接上页 b")]
+    rows = [(d, i, "footnote", text, i) for d, pair in enumerate(pairs) for i, text in enumerate(pair, 1)]
+    got = flow.reconcile(spark.createDataFrame(rows, "doc_id long, ord long, unit_type string, text string, page long")).orderBy("doc_id", "unit_no").collect()
+    assert [(r["doc_id"], r["text"]) for r in got] == [(0, "1 a\nb")] + [(d, text) for d in (1, 2, 3) for text in pairs[d]]
+    rows = [(1, "footnote", "1 a（接下页）", 1), (2, "paragraph", "Body.", 2), (3, "footnote", "2 c", 2), (4, "footnote", "（接上页）b", 2)]
+    got = flow.reconcile(spark.createDataFrame([("d", *r) for r in rows], "doc_id string, ord long, unit_type string, text string, page long")).orderBy("unit_no").collect()
+    assert [r["text"] for r in got] == ["1 a\nb", "Body.", "2 c"]
+
+
 def test_html():
     assert html.read_blocks("<h1>T</h1><p>a <b>b</b></p><p>lost<li>c</li><h2>later</h2>") == [("heading", "T"), ("paragraph", "a b"), ("paragraph", "c"), ("paragraph", "later")]
     assert html.read_blocks(None) == [] and html.table_text("<table><tr><td>a</td><th>b  c</th></tr><tr><td>d</td></tr></table>") == "a\tb c\nd"
