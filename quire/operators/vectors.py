@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Rows of a block, partitions of a query set.
+MOST_ROWS, QUERY_PARTS = 4096, 4
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
@@ -17,14 +24,63 @@ def top_k(vectors: DataFrame, query: list[float], k: int) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "vector_id")))
 
 
+def _blocks(rows: DataFrame, most: int) -> DataFrame:
+    """Rows of (id, vector) as blocks of at most ``most``: ids, lengths (-1 for a null or a null within) and padded doubles."""
+    kind = rows.schema[0].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, most):
+                part = batch.slice(at, most)
+                found = [None if v is None or None in v else np.array(v, np.float64) for v in part.column(1).to_pylist()]
+                lengths = np.array([-1 if v is None else len(v) for v in found], np.int64)
+                data = np.zeros((len(found), max(lengths.max(), 0)))
+                for row, v in zip(data, found, strict=True):
+                    if v is not None:
+                        row[: len(v)] = v
+                yield pa.RecordBatch.from_pylist([{"ids": part.column(0).to_pylist(), "lengths": lengths.tolist(), "data": data.tobytes()}], schema=pa.schema([("ids", pa.list_(part.schema.field(0).type)), ("lengths", pa.list_(pa.int64())), ("data", pa.binary())]))
+
+    return rows.mapInArrow(run, f"ids array<{kind}>, lengths array<long>, data binary")
+
+
+def _best(ids: np.ndarray, score: np.ndarray, valid: np.ndarray, k: int) -> np.ndarray:
+    """Mask of the k best of each row of scores: NaN first as Spark orders it, invalid last, ties to the smaller id."""
+    order = np.argsort(ids, kind="stable")
+    key = np.where(valid, np.where(np.isnan(score), np.inf, score), -np.inf)[:, order]
+    if key.shape[1] <= k:
+        return np.ones_like(valid)
+    kth = np.partition(key, -k, axis=1)[:, -k, None]
+    above, equal = key > kth, key == kth
+    out = np.zeros_like(valid)
+    out[:, order] = above | (equal & (np.cumsum(equal, axis=1) <= k - above.sum(1, keepdims=True)))
+    return out
+
+
 def top_k_batch(vectors: DataFrame, queries: DataFrame, k: int, most_queries: int = 1000) -> DataFrame:
-    """The k best rows for each (query_id, query); a stated query set against all rows.
+    """The k best rows for each (query_id, query); a stated query set of any size against all rows.
 
-    At most ``most_queries`` queries are broadcast; a larger set is a job for an index.
+    Blocks of at most ``most_queries`` queries meet blocks of rows, and only the k
+    best of each pair of blocks go on. Products are summed in the order of ``dot``.
     """
-    if queries.limit(most_queries + 1).count() > most_queries:
-        raise ValueError(f"more than {most_queries} queries")
-    pairs = vectors.join(F.broadcast(queries), F.col("query").isNotNull(), "inner").select("query_id", "vector_id", dot(F.col("embedding"), F.col("query")).alias("score"))
+    q = queries.where(F.col("query").isNotNull()).select("query_id", "query")
+    left = _blocks(vectors.select("vector_id", "embedding"), MOST_ROWS)
+    right = _blocks(q.coalesce(QUERY_PARTS), most_queries).select(*[F.col(c).alias(f"q_{c}") for c in ("ids", "lengths", "data")])
+    kinds = queries.schema["query_id"].dataType.simpleString(), vectors.schema["vector_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pair in range(batch.num_rows):
+                ids, lengths, data, q_ids, q_lengths, q_data = (c[pair].values.to_numpy(zero_copy_only=False) if i % 3 < 2 else np.frombuffer(c[pair].as_py()) for i, c in enumerate(batch.columns))
+                data, q_data = data.reshape(len(ids), -1), q_data.reshape(len(q_ids), -1)
+                valid = (q_lengths[:, None] == lengths) & (lengths >= 0)
+                score = np.zeros(valid.shape)
+                for x, y in zip(q_data.T, data.T, strict=False):
+                    score += x[:, None] * y
+                a, b = np.nonzero(_best(ids, score, valid, k))
+                columns = [pa.array(q_ids[a]), pa.array(ids[b]), pa.array(score[a, b], mask=~valid[a, b])]
+                yield pa.RecordBatch.from_arrays(columns, ["query_id", "vector_id", "score"])
+
+    pairs = left.crossJoin(right).mapInArrow(run, f"query_id {kinds[0]}, vector_id {kinds[1]}, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vector_id"))
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
 

@@ -138,6 +138,13 @@ def vector_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k_batch(_vectors(spark, sf_dir), q, 5).select("query_id", F.col("rank").cast("long").alias("rank"), "vector_id", F.round("score", 9).alias("score"))
 
 
+@_query()
+def vector_topk_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O5 for every row whose id is divisible by 20, against all rows."""
+    q = _vectors(spark, sf_dir).where("vector_id % 20 = 0").select(F.col("vector_id").alias("query_id"), F.col("embedding").alias("query"))
+    return vectors.top_k_batch(_vectors(spark, sf_dir), q, 5).select("query_id", F.col("rank").cast("long").alias("rank"), "vector_id", F.round("score", 9).alias("score"))
+
+
 @_query("SELECT row_number() OVER (ORDER BY label, vec_id) - 1 AS vector_id, vec_id, label FROM embeddings")
 def vector_docstore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6, S20."""

@@ -57,6 +57,21 @@ def test_vectors(spark):
     assert sorted((r["k"], r["vector_id"]) for r in stored.collect()) == [(i, i) for i in range(100)]
 
 
+def test_top_k_batch_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(i, [float(rng.randint(-2, 2)) for _ in range(3)]) for i in range(1500)] + [(1500, None), (1501, [1.0])]
+    v = spark.createDataFrame(rows, "vector_id long, embedding array<float>").repartition(3)
+    q = v.where("vector_id < 1101").select(F.col("vector_id").alias("query_id"), F.col("embedding").alias("query"))
+    got = {}
+    for r in vectors.top_k_batch(v, q, 4).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vector_id"], r["score"]))
+    for i in range(1101):
+        scored = [(j, sum(a * b for a, b in zip(rows[i][1], x, strict=True))) for j, x in rows[:1500]]
+        assert got[i] == sorted(scored, key=lambda s: (-s[1], s[0]))[:4], i
+    few = vectors.top_k_batch(v.where("vector_id >= 1498"), q.where("query_id = 0"), 9).orderBy("rank").collect()
+    assert len(few) == 4 and [(r["vector_id"], r["score"]) for r in few[2:]] == [(1500, None), (1501, None)]
+
+
 def test_nearest_profile_ties_to_lower(spark):
     rows = [("d", p, r) for p, r in ((1, "x"), (2, ""), (3, "x"), (4, ""), (9, "x"))]
     got = layout.nearest_profile(spark.createDataFrame(rows, "doc_id string, page long, reason string"))
