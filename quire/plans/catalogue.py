@@ -100,6 +100,13 @@ def rag_heading_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.heading_paths(h).select("doc_id", "ord", F.array_join("path", " > ").alias("path"))
 
 
+@_query()
+def rag_heading_path_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line, in full, a heading of level 1 + length % 4."""
+    h = D.lines(spark, sf_dir).select("doc_id", "ord", F.lit("heading").alias("type"), (1 + F.col("n") % 4).cast("int").alias("level"), F.col("line").alias("text"))
+    return chunking.heading_paths(h).select("doc_id", "ord", F.array_join("path", " > ").alias("path"))
+
+
 @_query()
 def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S18."""
@@ -273,6 +280,25 @@ def table_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.partition(t, review)
 
 
+def _all_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line a row, with two pages left out after the pages of each 14 lines."""
+    return D.lines(spark, sf_dir).select("doc_id", F.expr("ord div 2 + n % 2 + ord div 14 * 2").alias("page"), "ord", F.when(F.col("n") % 3 == 0, "<table/>").otherwise("").alias("html"))
+
+
+@_query()
+def table_runs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W15 over all lines."""
+    return tables.table_runs(_all_table_rows(spark, sf_dir))
+
+
+@_query()
+def table_partition_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U2 over all lines."""
+    t = tables.table_runs(_all_table_rows(spark, sf_dir))
+    review = t.select("doc_id", "page").distinct().withColumn("action", F.when(F.col("page") % 4 == 0, "exclude").otherwise("include"))
+    return tables.partition(t, review)
+
+
 # Notes
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quire.functions import geometry
 from quire.functions import text as T
 from quire.operators import chunking, constraints, flow, graph, layout, notes, skeleton, tables, vectors
+from quire.plans import catalogue
 from quire.sources import html
 
 BLOCK = "doc_id string, ord long, block_id string, type string, text string, level int, page int, bbox array<double>, note_marker string"
@@ -176,3 +177,27 @@ def test_html():
 def test_geometry(spark):
     a, b = F.array(*map(F.lit, (0.0, 0.0, 2.0, 2.0))), F.array(*map(F.lit, (1.0, 1.0, 3.0, 3.0)))
     assert spark.range(1).select(geometry.overlap_ratio(a, b), geometry.area(a), geometry.valid(F.array(F.lit(1.0)))).first()[:] == (0.25, 4.0, False)
+
+
+def test_whole_lines_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    paths, runs, status = {}, {}, {}
+    for doc_id, text in spark.read.parquet(f"{sf}/documents.parquet").where("text IS NOT NULL").select("doc_id", "text").collect():
+        lines, path = text.split("\n"), []
+        for i, line in enumerate(lines):
+            path = [*path[: len(line) % 4], line]
+            paths[doc_id, i] = " > ".join(path)
+        number, last, on, of_table = 0, None, False, {}
+        for page, i, primary in sorted((i // 2 + len(x) % 2 + i // 14 * 2, i, len(x) % 3 == 0) for i, x in enumerate(lines)):
+            on = primary or (on and page == last + 1)
+            number, last = number + primary, page
+            runs[doc_id, i] = (page, primary, number if on else None)
+            if on:
+                of_table.setdefault(number, []).append(page % 4 != 0)
+        status |= {(doc_id, t): (len(p), sum(p), "admitted" if all(p) else "unresolved" if any(p) else "excluded") for t, p in of_table.items()}
+    q = catalogue.queries()
+    assert {(r["doc_id"], r["ord"]): r["path"] for r in q["rag_heading_path_whole"](spark, sf).collect()} == paths
+    assert max(map(len, paths.values())) > 5000
+    assert {(r["doc_id"], r["ord"]): (r["page"], r["is_primary"], r["table_no"]) for r in q["table_runs_whole"](spark, sf).collect()} == runs
+    assert {t for _, _, t in runs.values()} > {None} and len(runs) == len(paths)
+    assert {(r["doc_id"], r["table_no"]): (r["n_pages"], r["n_included"], r["status"]) for r in q["table_partition_whole"](spark, sf).collect()} == status
