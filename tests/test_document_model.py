@@ -9,7 +9,7 @@ from quire.functions import geometry
 from quire.functions import text as T
 from quire.operators import chunking, constraints, flow, graph, layout, notes, skeleton, tables, vectors
 from quire.plans import catalogue
-from quire.sources import html
+from quire.sources import html, records
 
 BLOCK = "doc_id string, ord long, block_id string, type string, text string, level int, page int, bbox array<double>, note_marker string"
 
@@ -201,3 +201,24 @@ def test_whole_lines_brute_force(spark):
     assert {(r["doc_id"], r["ord"]): (r["page"], r["is_primary"], r["table_no"]) for r in q["table_runs_whole"](spark, sf).collect()} == runs
     assert {t for _, _, t in runs.values()} > {None} and len(runs) == len(paths)
     assert {(r["doc_id"], r["table_no"]): (r["n_pages"], r["n_included"], r["status"]) for r in q["table_partition_whole"](spark, sf).collect()} == status
+
+
+def test_footnotes_of_the_middle_file(spark):
+    line = lambda *spans: {"spans": [{"type": kind, "content": x} for kind, x in spans]}
+    block = lambda kind, i, box, *lines, **more: {"type": kind, "index": i, "bbox": box, "lines": list(lines)} | more
+    page = {
+        "page_idx": 0, "page_size": [500.0, 800.0], "discarded_blocks": [block("page_footnote", 7, [50.0, 700.0, 450.0, 720.0], line(("inline_equation", "{^²}"), ("text", " lost  note")), line(("text", " "))), block("header", 1, [0.0, 0.0, 9.0, 9.0], line(("text", "head")))],
+        "para_blocks": [block("ref_text", 8, None, line(("text", "direct"))), block("list", 3, [0.0, 0.0, 1.0, 1.0], sub_type="ref_text", blocks=[block("ref_text", None, [50.0, 400.0, 450.0, 420.0], line(("text", "nested"))), block("text", 1, None, line(("text", "no")))])],
+    }
+    middle = spark.createDataFrame([("d", [page]), ("e", None)], f"doc_id string, pdf_info {records.MIDDLE}")
+    body = [("text", None, "body", [100.0, 100.0, 900.0, 950.0]), ("page_footnote", None, "old", [1.0, 1.0, 2.0, 2.0]), ("list", "reference_list", "refs", None), ("list", None, "kept", [100.0, 960.0, 900.0, 980.0])]
+    pages = spark.createDataFrame([(d, [body]) for d in "de"], f"doc_id string, pages array<array<{records.ITEM}>>")
+    got, sizes = records.load_inputs(pages, None, middle)
+    rows = got.orderBy("doc_id", "ord").collect()
+    assert [(r["text"], r["bbox"]) for r in rows if r["doc_id"] == "d"] == [("direct", None), ("body", [100.0, 100.0, 900.0, 950.0]), ("nested", [100.0, 500.0, 900.0, 525.0]), ("2 lost note", [100.0, 875.0, 900.0, 900.0]), ("kept", [100.0, 960.0, 900.0, 980.0])]
+    assert sorted(r["text"] for r in rows if r["doc_id"] == "e") == ["body", "kept", "old", "refs"]
+    assert {tuple(r) for r in sizes.collect()} == {("d", 1, 1000.0, 1000.0), ("e", 1, 1000.0, 1000.0)}
+    flat = spark.createDataFrame([("d", i, 0, *x) for i, x in enumerate(body)], "doc_id string, ord long, page_idx long, type string, sub_type string, text string, bbox array<double>")
+    assert [r["text"] for r in records.load_inputs(None, flat, middle)[0].orderBy("ord").collect()] == ["direct", "body", "nested", "2 lost note", "kept"]
+    with pytest.raises(ValueError, match="required"):
+        records.load_inputs(None, None, middle)
