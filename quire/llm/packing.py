@@ -185,12 +185,14 @@ def _at_powers(bin_: list[tuple[int, int, int]], cap: int) -> list[list[tuple[in
     return out
 
 
-def packed(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS, max_loss_tokens: int | None = None) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", max_tokens: int = MAX_TOKENS, max_segments: int = MAX_SEGMENTS, max_loss_tokens: int | None = None, loss_tokens: str | None = None) -> DataFrame:
     """Pieces of every document: doc_id, start, length, ids (little-endian uint32), doc_tokens, loss_tokens, sequence_id, offset.
 
-    All tokens of plain documents bear loss; ``max_loss_tokens`` (by default max_tokens) is their limit.
+    ``max_loss_tokens`` (by default max_tokens) is the limit of loss-bearing tokens. How many of a document's tokens,
+    its end token included, bear loss is in the column ``loss_tokens``; all do without it or where it is null. They are
+    taken to lie evenly in it: pieces have whole shares that add up to the document's number.
     """
-    slim = docs.select(docs[f"`{doc_id}`"].alias("doc_id"), docs[f"`{text}`"].cast("string").alias("text"))
+    slim = docs.select(docs[f"`{doc_id}`"].alias("doc_id"), docs[f"`{text}`"].cast("string").alias("text"), *([docs[f"`{loss_tokens}`"].cast("long").alias("loss")] if loss_tokens else []))
     kind = slim.schema["doc_id"].dataType.simpleString()
     limits = np.array([max_tokens, max_segments, max_loss_tokens or max_tokens], np.float64)
     end = np.array([END_ID], "<u4")
@@ -200,22 +202,28 @@ def packed(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
         next_id = (context.partitionId() if context else 0) << 40
         ids: list[np.ndarray] = []
         keys: list[object] = []
+        given: list[int | None] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal next_id, held
             n = np.array([len(x) for x in ids])
             rows: list[tuple] = []
-            bins = pack(np.stack([n, np.ones(len(n), np.int64), n], 1), limits)
+            loss = np.array([k if x is None else min(max(x, 0), k) for k, x in zip(n.tolist(), given, strict=True)], np.int64)
+            bins = pack(np.stack([n, np.ones(len(n), np.int64), loss], 1), limits)
             for whole in bins:
                 for bin_ in _at_powers(whole, max_tokens):
-                    offset = 0
+                    offset = borne = 0
                     for item, at, k in bin_:
-                        rows.append((keys[item], at, k, ids[item][at : at + k].tobytes(), len(ids[item]), k, next_id, offset))
-                        offset += k
+                        own = int((at + k) * loss[item] // n[item] - at * loss[item] // n[item])
+                        if borne + own > limits[2]:  # shares rounded up have passed the limit
+                            next_id, offset, borne = next_id + 1, 0, 0
+                        rows.append((keys[item], at, k, ids[item][at : at + k].tobytes(), len(ids[item]), own, next_id, offset))
+                        offset, borne = offset + k, borne + own
                     next_id += 1
             ids.clear()
             keys.clear()
+            given.clear()
             held = 0
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
@@ -224,10 +232,12 @@ def packed(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
             schema = schema or pa.schema([("doc_id", batch.schema.field(0).type)] + [(c, pa.int64()) for c in ("start", "length")] + [("ids", pa.binary())] + [(c, pa.int64()) for c in ("doc_tokens", "loss_tokens", "sequence_id", "offset")])
             data, at = text_buffer(batch.column(1))
             names = batch.column(0).to_pylist()
+            losses = batch.column(2).to_pylist() if loss_tokens else [None] * len(names)
             for a, b in runs(at):
                 for i, found in enumerate(encoder.encode(data[at[a] : at[b]], at[a : b + 1] - at[a]), a):
                     ids.append(np.append(found, end))
                     keys.append(names[i])
+                    given.append(losses[i])
                     held += len(ids[-1])
                     if held >= BLOCK_TOKENS:
                         yield flush()

@@ -151,6 +151,19 @@ def test_packing_keeps_every_limit():
     assert sum(p[2] for b in bins for p in b) == n.sum()
 
 
+def test_packing_limits_given_loss_tokens(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("loss", F.expr("if(doc_id % 5 = 0, NULL, n_chars div (4 + doc_id % 9))"))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    got = packing.packed(docs, path, max_loss_tokens=100, loss_tokens="loss").toPandas()
+    want = {r["doc_id"]: r["loss"] for r in docs.collect()}
+    for doc_id, pieces in got.groupby("doc_id"):
+        n, loss = pieces["doc_tokens"].iloc[0], want[doc_id]
+        assert pieces["length"].sum() == n and pieces["loss_tokens"].sum() == (n if loss is None else min(loss, n))
+    each = got.groupby("sequence_id")[["length", "loss_tokens"]].sum()
+    assert each["loss_tokens"].max() <= 100 and each["length"].max() <= 2048
+    assert ((each["loss_tokens"] >= 99) & (each["length"] < 1024)).any()
+
+
 def test_held_out_accuracy(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     t = toxicity.toxicity(docs, toxicity.train(docs, labels)).join(labels, "doc_id").where("held_out").toPandas()
