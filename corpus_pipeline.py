@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import mixing, near_dup, packing, pii, quality
-from quire.llm.store import materialise
+from quire.llm.store import discard, materialise
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -58,5 +58,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(before)  # a stage's table goes when the next one is written; the input isn't one of them
     return STAGES[-1][1](spark, docs, sf_dir)
