@@ -8,8 +8,10 @@ into whole sequences and a rest; when no rest fits any more, one item is cut to
 fill the sequence, so that only the last sequence of a block is padded, and its
 content is cut at powers of two, which need no padding.
 
-Each partition packs its own documents in blocks of BLOCK_TOKENS tokens or so:
-no shuffle, memory bounded by a block and its longest document. Sequence ids are
+Each partition packs its own documents in blocks of BLOCK_TOKENS tokens or so, or
+BLOCK_ITEMS documents: no shuffle, memory bounded by a block and its longest
+document. Items of one size are a group, so that a choice costs no more than there
+are sizes. Sequence ids are
 the partition's number and a running count, so a retried task repeats them.
 
 A null or empty text is its end token alone. Repeated rows are packed each; an
@@ -32,7 +34,7 @@ from quire.llm.bpe import byte_letters
 from quire.llm.spans import Memo, runs, text_buffer, word_spans
 
 MAX_TOKENS, MAX_SEGMENTS = 2048, 256
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS, BLOCK_ITEMS = 1 << 20, 1 << 16
 END_ID = 1
 REMEMBERED = 100_000
 #: Outside Latin-1, not in composed form alone, or a control on which libraries differ about white space.
@@ -46,8 +48,10 @@ LETTERS = byte_letters()
 class Encoder:
     """Ids of texts, as the tokenizer gives them without special tokens added.
 
-    No id reaches over ASCII white space, so each distinct chunk between it is
-    encoded once; its ids lie in a pool, and a text's are gathered from there.
+    If a probe shows that no id of the tokenizer reaches over ASCII white space and
+    case doesn't matter, each distinct chunk between white space is encoded once; its
+    ids lie in a pool, and a text's are gathered from there. Otherwise the library
+    gets whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -56,15 +60,17 @@ class Encoder:
         self.words: dict[str, list[int]] = {}
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo, self.pool, self.used = Memo(2_000_000), np.zeros(1 << 20, np.uint32), 0
-        self.by_word = True
-        probe = "a,b's é12 !?x ßi'll ab 't word. :no"
-        self.by_word = [i for w in probe.split() for i in self._chunk(w)] == self._whole(probe)
+        probe = "a,b's é12 !?x ßi'll ab 't word. :no Hello hello A  \n b"
+        try:
+            self.by_word = [i for w in probe.split() for i in self._chunk(w)] == self._whole(probe)
+        except Exception:  # a model that can't take such letters isn't of this kind
+            self.by_word = False
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _chunk(self, chunk: str) -> list[int]:
-        if not self.by_word or UNUSUAL(chunk) or "<" in chunk:
+        if UNUSUAL(chunk) or "<" in chunk:
             return self._whole(chunk)
         out: list[int] = []
         for word in WORDS(chunk.lower()):
@@ -78,6 +84,10 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of each text of a UTF-8 buffer."""
+        if not self.by_word:
+            read = data.tobytes()
+            texts = [read[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         hashes, first, last = word_spans(data, offsets)
         if self.memo.full() or self.used > 1 << 25:
             self.memo.clear()
@@ -127,38 +137,52 @@ def pack(sizes: np.ndarray, limits: np.ndarray) -> list[list[tuple[int, int, int
         left[i, 2] = sizes[i, 2] * left[i, 0] / sizes[i, 0]
     order = np.flatnonzero(left[:, 0] > 0)
     order = order[np.argsort(-left[order, 0], kind="stable")]
-    items, size = order, left[order] / limits
-    alive = np.ones(len(items), bool)
-    n_alive = len(items)
-    weight = size.sum(0) / max(size.sum(), 1e-12)
-    tokens = left[order, 0].copy()
-    from_ = start[order].copy()
-    while n_alive:
-        if 2 * n_alive < len(items):
-            items, size, tokens, from_ = items[alive], size[alive], tokens[alive], from_[alive]
-            alive = np.ones(len(items), bool)
+    # Rests of equal size are one group, a stack of items; a sequence chooses among groups.
+    size, group = np.unique(left[order], axis=0, return_inverse=True)
+    size, group = size[::-1], len(size) - 1 - group.ravel()
+    by_group = np.argsort(group, kind="stable")
+    stacks = [order[x][::-1].tolist() for x in np.split(by_group, np.cumsum(np.bincount(group, minlength=len(size)))[:-1])] if len(order) else []
+    tokens, size, n_left = size[:, 0].astype(np.int64), size / limits, np.bincount(group, minlength=len(size))
+    weight = (size * n_left[:, None]).sum(0) / max(float((size.sum(1) * n_left).sum()), 1e-12)
+    known = {(int(t), float(z)): g for g, (t, z) in enumerate(zip(tokens, size[:, 2], strict=True))}
+    while n_left.any():
+        if 2 * np.count_nonzero(n_left) < len(n_left):
+            on = np.flatnonzero(n_left)
+            tokens, size, n_left, stacks = tokens[on], size[on], n_left[on], [stacks[g] for g in on]
+            known = {(int(t), float(z)): g for g, (t, z) in enumerate(zip(tokens, size[:, 2], strict=True))}
         free, used, bin_ = np.ones(3), 0, []
-        fits = alive.copy()
-        while n_alive and used < cap:
-            fits &= alive & (size <= free + 1e-9).all(1)
+        fits = n_left > 0
+        while used < cap:
+            fits &= (n_left > 0) & (size <= free + 1e-9).all(1)
             at = np.flatnonzero(fits)
             if not len(at):
                 break
-            k = at[np.argmax(size[at] @ (weight * free))]
-            bin_.append((int(items[k]), int(from_[k]), int(tokens[k])))
-            free, used, alive[k], n_alive = free - size[k], used + int(tokens[k]), False, n_alive - 1
+            g = int(at[np.argmax(size[at] @ (weight * free))]) if len(at) > 1 else int(at[0])
+            # With one group left the choice stays the same until it no longer fits.
+            n = 1 if len(at) > 1 else max(1, min(len(stacks[g]), int(((free + 1e-9) / np.maximum(size[g], 1e-12)).min())))
+            for item in reversed(stacks[g][-n:]):
+                bin_.append((item, int(start[item]), int(tokens[g])))
+            del stacks[g][-n:]
+            free, used, n_left[g] = free - n * size[g], used + n * int(tokens[g]), n_left[g] - n
         room = cap - used
-        if n_alive and room and free[1] * limits[1] >= 1 - 1e-9:
+        if n_left.any() and room and free[1] * limits[1] >= 1 - 1e-9:
             # Cut the longest rest that has more than the room; its share of loss-bearing tokens must fit.
-            share = np.minimum(room, tokens * np.minimum(1, free[2] / np.maximum(size[:, 2], 1e-12)))
-            share = np.where(alive, np.floor(share), 0)
-            k = int(np.argmax(share))
-            cut = int(min(share[k], tokens[k] - 1))
+            share = np.minimum(room, tokens * np.minimum(1, np.maximum(free[2], 0) / np.maximum(size[:, 2], 1e-12)))
+            share = np.where(n_left > 0, np.floor(share), 0)
+            g = int(np.argmax(share))
+            cut = int(min(share[g], tokens[g] - 1))
             if cut >= 1:
-                bin_.append((int(items[k]), int(from_[k]), cut))
-                kept = (tokens[k] - cut) / tokens[k]
-                from_[k], tokens[k] = from_[k] + cut, tokens[k] - cut
-                size[k, 0], size[k, 2] = size[k, 0] * kept, size[k, 2] * kept
+                item = stacks[g].pop()
+                bin_.append((item, int(start[item]), cut))
+                rest, loss = int(tokens[g]) - cut, float(size[g, 2] * (tokens[g] - cut) / tokens[g])
+                start[item], n_left[g] = start[item] + cut, n_left[g] - 1
+                if (to := known.get((rest, loss))) is None:
+                    to = known[rest, loss] = len(stacks)
+                    tokens, n_left = np.append(tokens, rest), np.append(n_left, 0)
+                    size = np.vstack([size, [rest / limits[0], size[g, 1], loss]])
+                    stacks.append([])
+                stacks[to].append(item)
+                n_left[to] += 1
         if not bin_:
             raise ValueError("an item's demand exceeds a limit that cutting can't meet")
         done.append(bin_)
@@ -239,7 +263,7 @@ def packed(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
                     keys.append(names[i])
                     given.append(losses[i])
                     held += len(ids[-1])
-                    if held >= BLOCK_TOKENS:
+                    if held >= BLOCK_TOKENS or len(ids) >= BLOCK_ITEMS:
                         yield flush()
         if ids:
             yield flush()
