@@ -5,7 +5,8 @@ by its quality weight, -ln(u) / w, with u a hash of doc_id, so that reruns agree
 A source takes complete epochs first; what is left of its target is a prefix of
 its documents in key order, found by prefix sums of sizes.
 
-No source is gathered in one task. Keys are mapped to equal cells of [0, 1);
+No source is gathered in one task. Keys fall into CELLS cells for each doubling,
+so that a cell holds less than a thousandth of a source whatever the weights are;
 sums per (source, cell) find the cell in which a source's budget ends, and only
 that cell's rows are sorted. The decision of a row is then a comparison with one
 (key, doc_id) per source, so texts are never shuffled. One row per source goes
@@ -14,9 +15,10 @@ at most BROADCAST_SOURCES sources, otherwise joined by shuffle.
 
 Null texts have size 0 and are taken as often as any row of no words: never.
 A null source is a source of its own, last in order. Repeated rows are rows of
-their own; equal ones share a key and stand or fall together unless the budget
-ends between them, when all of them are kept out. An empty table gives an empty
-mix. Input columns pass through; names starting with ``_mix`` are taken.
+their own; rows that share a doc_id and a key stand or fall together, by where the
+middle of their sizes lies. A row is taken in the part epoch if the sizes before it
+and half its own are at most the budget. An empty table gives an empty mix. Input
+columns, whatever their names, pass through.
 """
 
 from __future__ import annotations
@@ -28,9 +30,11 @@ from quire.llm.store import materialise
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
-CELLS = 4096
+CELLS = 1024
 BROADCAST_SOURCES = 10_000
-SEED = 20_17
+SEED = 2017
+#: The column in which a row's decision lies; as good as unknown to tables.
+MIX = "_mix_3f1c9a7e"
 
 
 def word_count(text: Column) -> Column:
@@ -50,13 +54,14 @@ def quality_weight(text: Column) -> Column:
 
 
 def _keyed(docs: DataFrame, doc_id: str, size: Column, source: Column, weight: Column) -> DataFrame:
-    """docs with _mix: source, size, key in [0, inf) and cell of [0, CELLS)."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.col(f"`{doc_id}`"), F.lit(SEED)), 11)
-    u = (bits + F.lit(0.5)) * F.lit(2.0**-53)
-    df = docs.withColumn("_mix", F.struct(source.alias("source"), size.alias("size"), (-F.log(u) / weight).alias("key")))
-    # 1 - exp(-key) spreads the keys of documents of weight 1 evenly, and of others smoothly.
-    cell = F.least(F.lit(CELLS - 1), F.floor((1 - F.exp(-F.col("_mix.key"))) * CELLS).cast("int"))
-    return df.withColumn("_mix", F.col("_mix").withField("cell", cell))
+    """docs with MIX: source, size, key in (0, inf) and cell."""
+    # 52 bits of a hash that every SQL engine has.
+    bits = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")), F.lit(f":{SEED}"))), 1, 13), 16, 10).cast("double")
+    u = (bits + F.lit(0.5)) * F.lit(2.0**-52)
+    df = docs.withColumn(MIX, F.struct(source.alias("source"), size.alias("size"), (-F.log(u) / weight).alias("key")))
+    # Between 2 ** -53 and 2 ** 8 the logarithm orders keys as they are; a part of a doubling holds at most 0.37 / CELLS of a source.
+    cell = F.floor((F.log2(F.greatest(F.col(MIX)["key"], F.lit(2.0**-60))) + 60) * CELLS).cast("int")
+    return df.withColumn(MIX, F.col(MIX).withField("cell", cell))
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS) -> DataFrame:
@@ -114,34 +119,34 @@ def plan(rows: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``docs`` with a struct column ``_mix``: source, size, key, cell, source_size, target and copies (0 to 3)."""
+    """``docs`` with a struct column MIX: source, size, key, cell, source_size, target and copies (0 to 3)."""
     keyed = _keyed(docs, doc_id, word_count(F.col(f"`{text}`")), F.col(f"`{source}`"), quality_weight(F.col(f"`{text}`")))
-    rows = materialise(keyed.select("_mix.*", F.col(f"`{doc_id}`").alias("doc_id")), "mix-rows")
+    rows = materialise(keyed.select(f"{MIX}.*", F.col(f"`{doc_id}`").alias("doc_id")), "mix-rows")
     return _decide(keyed, doc_id, plan(rows))
 
 
 def _decide(keyed: DataFrame, doc_id: str, planned: DataFrame) -> DataFrame:
     side = F.broadcast(planned) if planned.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else planned
-    names = [F.col(f"d.`{c}`") for c in keyed.columns if c != "_mix"]
-    joined = keyed.alias("d").join(side.alias("p"), F.col("d._mix.source").eqNullSafe(F.col("p.source")))
-    m, key_id = F.col("d._mix"), F.struct(F.col("d._mix.key"), F.col(f"d.`{doc_id}`"))
+    names = [F.col(f"d.`{c}`") for c in keyed.columns if c != MIX]
+    joined = keyed.alias("d").join(side.alias("p"), F.col(f"d.{MIX}.source").eqNullSafe(F.col("p.source")))
+    m, key_id = F.col(f"d.{MIX}"), F.struct(F.col(f"d.{MIX}.key"), F.col(f"d.`{doc_id}`"))
     part = F.when(F.col("p.last_cell").isNull(), F.lit(False)).when(m["cell"] != F.col("p.last_cell"), m["cell"] < F.col("p.last_cell"))
     part = part.otherwise(F.coalesce(key_id <= F.col("p.last"), F.lit(False)))
     copies = F.when(m["size"] == 0, 0).otherwise(F.col("p.epochs") + part.cast("long")).cast("long")
     out = m.withField("source_size", F.col("p.source_size")).withField("target", F.col("p.target")).withField("copies", copies)
-    return joined.select(*names, out.alias("_mix"))
+    return joined.select(*names, out.alias(MIX))
 
 
 def decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """doc_id, size, source_size, target and taken (words) of every row; texts are read once."""
     keyed = _keyed(docs, doc_id, word_count(F.col(f"`{text}`")), F.col(f"`{source}`"), quality_weight(F.col(f"`{text}`")))
-    rows = materialise(keyed.select("_mix.*", F.col(f"`{doc_id}`").alias("doc_id")), "mix-rows")
-    slim = rows.select("doc_id", F.struct("source", "size", "key", "cell").alias("_mix"))
+    rows = materialise(keyed.select(f"{MIX}.*", F.col(f"`{doc_id}`").alias("doc_id")), "mix-rows")
+    slim = rows.select("doc_id", F.struct("source", "size", "key", "cell").alias(MIX))
     out = _decide(slim, "doc_id", plan(rows))
-    return out.select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", (F.col("_mix.size") * F.col("_mix.copies")).alias("taken"))
+    return out.select("doc_id", f"{MIX}.size", f"{MIX}.source_size", f"{MIX}.target", (F.col(f"{MIX}.size") * F.col(f"{MIX}.copies")).alias("taken"))
 
 
 def take(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: each row as many times as it is taken, with the columns of ``docs``."""
-    mixed = mix(docs, doc_id, text, source).where("_mix.copies > 0")
-    return mixed.withColumn("_mix", F.explode(F.array_repeat(F.lit(0), F.col("_mix.copies").cast("int")))).drop("_mix")
+    mixed = mix(docs, doc_id, text, source).where(f"{MIX}.copies > 0")
+    return mixed.withColumn(MIX, F.explode(F.array_repeat(F.lit(0), F.col(f"{MIX}.copies").cast("int")))).drop(MIX)

@@ -1,6 +1,6 @@
 """DuckDB SQL for those queries that SQL can express."""
 
-from quire.llm.mixing import CELLS, MAX_EPOCHS, WEIGHTS  # noqa: F401
+from quire.llm.mixing import MAX_EPOCHS, SEED, WEIGHTS
 from quire.llm.quality import RULES, STOP_WORDS
 
 _W = r"[^\x20\x09-\x0D]+"
@@ -27,12 +27,19 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 
 CHAT = r"""
 WITH RECURSIVE msg AS (SELECT conv_id, turn, role, text, string_split(text, chr(10)) AS lines FROM conversations),
-ln AS (SELECT conv_id, turn, length(regexp_replace(regexp_extract(x, '^[ \t]*(>[ \t]*)+'), '[^>]', '', 'g')) AS level,
-  trim(regexp_replace(lower(regexp_replace(x, '^[ \t]*(>[ \t]*)+', '')), '[\x20\x09-\x0D]+', ' ', 'g')) AS said FROM (SELECT conv_id, turn, unnest(lines) AS x FROM msg)),
-q AS (SELECT conv_id, turn, level, said, count(*) AS n FROM ln WHERE level > 0 AND regexp_matches(said, '[\p{L}\p{N}]') AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
-s AS (SELECT DISTINCT conv_id, turn, said FROM ln WHERE level = 0),
-f AS (SELECT q.conv_id, q.turn, q.level, q.said, q.n, max(s.turn) AS parent_turn FROM q JOIN s ON s.conv_id = q.conv_id AND s.said = q.said AND s.turn < q.turn GROUP BY ALL),
-v AS (SELECT conv_id, turn, level, parent_turn, sum(n) AS n FROM f GROUP BY ALL),
+ln0 AS (SELECT conv_id, turn, i, length(regexp_replace(regexp_extract(x, '^[ \t]*(>[ \t]*)+'), '[^>]', '', 'g')) AS level,
+  trim(regexp_replace(lower(regexp_replace(x, '^[ \t]*(>[ \t]*)+', '')), '[\x20\x01\x02\x09-\x0D]+', ' ', 'g')) AS said FROM (SELECT conv_id, turn, unnest(lines) AS x, unnest(range(len(lines))) AS i FROM msg WHERE conv_id IS NOT NULL AND turn IS NOT NULL)),
+ln1 AS (SELECT conv_id, turn, i, said, CASE WHEN regexp_matches(said, '[\p{L}\p{N}]') THEN level END AS level FROM ln0),
+ln AS (SELECT *, sum(CASE WHEN level IS NOT DISTINCT FROM before THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id, turn ORDER BY i) AS passage FROM (SELECT *, lag(level) OVER (PARTITION BY conv_id, turn ORDER BY i) AS before FROM ln1)),
+ps AS (SELECT conv_id, turn, passage, level, list(said ORDER BY i) AS said FROM ln WHERE level IS NOT NULL GROUP BY ALL),
+un AS (SELECT conv_id, turn, passage, level, 0 AS kind, array_to_string(said, ' ') AS hash FROM ps UNION ALL SELECT conv_id, turn, passage, level, 2, unnest(said) FROM ps
+  UNION ALL SELECT conv_id, turn, passage, level, 1, array_to_string(w[i : i + 7], ' ') FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM (SELECT conv_id, turn, passage, level, string_split(array_to_string(said, ' '), ' ') AS w FROM ps))),
+q AS (SELECT conv_id, turn, passage, level, kind, hash, count(*) AS n FROM un WHERE level > 0 GROUP BY ALL),
+s AS (SELECT DISTINCT conv_id, turn, kind, hash FROM un WHERE level = 0),
+f AS (SELECT q.conv_id, q.turn, q.passage, q.level, q.kind, q.hash, q.n, max(s.turn) AS parent_turn FROM q JOIN s ON s.conv_id = q.conv_id AND s.kind = q.kind AND s.hash = q.hash AND s.turn < q.turn GROUP BY ALL),
+g AS (SELECT conv_id, turn, passage, level, kind, parent_turn, sum(n) AS n FROM f GROUP BY ALL),
+h AS (SELECT conv_id, turn, level, parent_turn FROM g QUALIFY row_number() OVER (PARTITION BY conv_id, turn, passage ORDER BY kind, n DESC, parent_turn DESC) = 1),
+v AS (SELECT conv_id, turn, level, parent_turn, count(*) AS n FROM h GROUP BY ALL),
 p AS (SELECT conv_id, turn, parent_turn FROM v QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, n DESC, parent_turn DESC) = 1),
 r AS (SELECT conv_id, turn, parent_turn AS root_turn FROM p UNION ALL SELECT r.conv_id, r.turn, p.parent_turn FROM r JOIN p ON p.conv_id = r.conv_id AND p.turn = r.root_turn),
 t AS (SELECT conv_id, turn, min(root_turn) AS root_turn FROM r GROUP BY ALL)
@@ -43,7 +50,23 @@ SELECT m.conv_id, coalesce(t.root_turn, m.turn) AS root_turn, m.turn, p.parent_t
 FROM msg m LEFT JOIN p USING (conv_id, turn) LEFT JOIN t USING (conv_id, turn)
 """
 
-#: Bytes of every text; the exact token count needs the library.
+MIXED = rf"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, len(regexp_extract_all(coalesce(text, ''), '{_W}')) AS size FROM documents),
+k AS (SELECT doc_id, source, size, -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':{SEED}'), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE) * pow(2::DOUBLE, -52))
+  / least(1::DOUBLE, greatest(0.25::DOUBLE, length(t) / (len(string_split(t, chr(10))) * 64::DOUBLE))) AS key FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM k GROUP BY source),
+w AS (SELECT *, ({list(map(float, WEIGHTS))}::DOUBLE[])[(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % {len(WEIGHTS)} + 1] AS weight FROM s),
+c AS (SELECT *, row_number() OVER by_cap AS place, (sum(source_size) OVER () - {MAX_EPOCHS} * coalesce(sum(source_size) OVER before, 0))::BIGINT AS rest, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0::DOUBLE) AS rest_weight FROM w
+  WINDOW by_cap AS (ORDER BY source_size / weight, encode(source) NULLS LAST), before AS (ORDER BY source_size / weight, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT arg_min(rest / rest_weight, place) FILTER ({MAX_EPOCHS} * source_size * rest_weight >= weight * rest) AS level FROM c),
+t AS (SELECT source, source_size, CASE WHEN {MAX_EPOCHS} * source_size * rest_weight < weight * rest THEN ({MAX_EPOCHS} * source_size)::DOUBLE ELSE weight * level END AS target FROM c, l),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size + 1e-12) ELSE 0 END::BIGINT AS epochs FROM t),
+g AS (SELECT source, key, doc_id, sum(size) AS size FROM k GROUP BY ALL),
+m AS (SELECT source, key, doc_id, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST) - size / 2 AS mid FROM g)
+SELECT k.doc_id, k.size::BIGINT AS size, e.source_size, e.target, (k.size * (e.epochs + (m.mid <= greatest(0::DOUBLE, e.target - e.epochs * e.source_size))::INT))::BIGINT AS taken
+FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source JOIN m ON k.source IS NOT DISTINCT FROM m.source AND k.key = m.key AND k.doc_id IS NOT DISTINCT FROM m.doc_id
+"""
+
 NEAR = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
@@ -57,4 +80,4 @@ SELECT d.doc_id, coalesce(c.n, 0)::BIGINT AS n_shingles, coalesce(m.root, d.doc_
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m ON m.id = d.doc_id
 """
 
-ORACLE = {"op5_near_duplicates": NEAR, "op8_reply_order": CHAT, "op9_quality_rules": QUALITY}
+ORACLE = {"op2_source_mix": MIXED, "op5_near_duplicates": NEAR, "op8_reply_order": CHAT, "op9_quality_rules": QUALITY}
