@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -211,7 +212,7 @@ def _region(cells: np.ndarray, leading: int) -> np.ndarray:
 
 
 def _by_length(lists: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    n = np.asarray(pa.compute.list_value_length(lists))
+    n = np.asarray(pc.list_value_length(lists))
     for dim in np.unique(n):
         at = np.flatnonzero(n == dim)
         yield at, _doubles(lists.take(pa.array(at)), int(dim))
@@ -293,14 +294,14 @@ def _meet(index: DataFrame, probe: DataFrame, k: int) -> DataFrame:
     def rank(group: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(batches)
         query = table["query"].to_numpy(zero_copy_only=False)
-        dims = np.asarray(pa.compute.list_value_length(table["v"]))
+        dims = np.asarray(pc.list_value_length(table["v"]))
         first = table["first"].to_numpy()
         for dim in np.unique(dims[query]):
             q, c = np.flatnonzero(query & (dims == dim)), np.flatnonzero(~query & (dims == dim))
             if not len(c):
                 continue
             x, y = (_doubles(table["v"].take(pa.array(at)), int(dim)) for at in (q, c))
-            ux, uy, least = _unit(x), _unit(y), pa.compute.list_element(table["ids"].take(pa.array(c)), 0).to_numpy()
+            ux, uy, least = _unit(x), _unit(y), pc.list_element(table["ids"].take(pa.array(c)), 0).to_numpy()
             kinds, code = np.unique(table["key"].take(pa.array(c)).to_numpy(zero_copy_only=False), return_inverse=True)
             keys = table["keys"].take(pa.array(q)).to_pylist()
             for a in range(0, len(q), 256):
