@@ -4,18 +4,23 @@
 expression; no user function runs. All counts come from the whole text.
 
 Null or empty texts have no words, so they fail the base rule ``n_words >= 10``.
-Repeated rows are judged row by row, ties do not occur, an empty table gives an
-empty table, and input columns of any name pass through untouched.
+Very long texts are counted whole. Repeated rows are judged row by row, ties do not
+occur, an empty table gives an empty table, and input columns of any name pass
+through untouched.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 5
+#: The column in which counts lie; as good as unknown to tables.
+_Q = "_quality_5c1d0e7b"
+METRICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_bullet_lines", "n_ellipsis_lines", "n_stop_words", "n_repeat_words")
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
     "a an and are as at be by for from in is it of on or that the this to was with "
@@ -57,7 +62,7 @@ def _counts(text: Column) -> tuple[list[Column], list[Column], list[Column]]:
         F.filter(F.split(text, "\n"), has_word).alias("l"),
         F.when(text.rlike("[#*$%&|<>]"), F.regexp_count(text, F.lit("[#*$%&|<>]"))).otherwise(0).cast("long").alias("n_symbols"),
     ]
-    w, lines = F.col("_q.w"), F.col("_q.l")
+    w, lines = F.col(f"{_Q}.w"), F.col(f"{_Q}.l")
     n = F.size(w) - WINDOW + 1
     windows = F.arrays_zip(*[F.slice(w, 1 + j, n).alias(f"w{j}") for j in range(WINDOW)])
     hashes = [
@@ -69,9 +74,9 @@ def _counts(text: Column) -> tuple[list[Column], list[Column], list[Column]]:
         F.size(F.filter(lines, lambda x: F.rtrim(x).rlike(r"(?:\.\.\.|…)$"))).cast("long").alias("n_ellipsis_lines"),
         F.size(F.filter(w, lambda x: x.isin(_STOP_FORMS))).cast("long").alias("n_stop_words"),
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-        F.col("_q.n_symbols").alias("n_symbols"),
+        F.col(f"{_Q}.n_symbols").alias("n_symbols"),
     ]
-    h = F.col("_q.h")
+    h = F.col(f"{_Q}.h")
     ranked = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
     same = lambda s, i, e: F.coalesce(F.get(s, i)["h"] == e["h"], F.lit(False))
     # A window is found again if a neighbour in hash order has its hash.
@@ -80,40 +85,38 @@ def _counts(text: Column) -> tuple[list[Column], list[Column], list[Column]]:
     state = lambda end, n: F.struct(end.cast("int").alias("end"), n.cast("long").alias("n"))
     covered = F.aggregate(at, state(F.lit(0), F.lit(0)), lambda s, p: state(p + WINDOW, s["n"] + p + WINDOW - F.greatest(p, s["end"])), lambda s: s["n"])
     metrics = [F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(covered).alias("n_repeat_words")]
-    metrics += [F.col(f"_q.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_bullet_lines", "n_ellipsis_lines", "n_stop_words")]
+    metrics += [F.col(f"{_Q}.{c}").alias(c) for c in METRICS if c != "n_repeat_words"]
     return parts, hashes, metrics
 
 
-def compile_rules(rules: tuple[Rule, ...] = RULES) -> str:
-    """One SQL condition that is true for documents inside every threshold."""
-    return " AND ".join(f"({r.metric}) BETWEEN {r.low!r}D AND {r.high!r}D" for r in rules) or "true"
+def compile_rules(rules: tuple[Rule, ...] = RULES, metrics: str = "") -> str:
+    """One SQL condition that is true for documents inside every threshold; METRICS are fields of ``metrics`` if given."""
+    verdict = " AND ".join(f"({r.metric}) BETWEEN {r.low!r}D AND {r.high!r}D" for r in rules) or "true"
+    return re.sub(rf"\b({'|'.join(METRICS)})\b", rf"{metrics}.\1", verdict) if metrics else verdict
 
 
 def quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, into: str = "quality") -> DataFrame:
-    """``docs`` with a struct column ``into``: the counts, ``base_failed`` and ``kept``.
+    """``docs`` and a struct column: the counts, ``base_failed`` and ``kept``.
 
-    ``into`` and ``_q`` must not be columns of ``docs``; rename yours or pass another name.
+    It is the last column, named ``into``, with an underscore added while ``docs`` has that name.
     """
-    if {"_q", into} & set(docs.columns):
-        raise ValueError(f"columns _q and {into} are taken")
     out = docs
-    parts, hashes, metrics = _counts(F.col(f"`{text}`"))
-    for columns in (parts, hashes, metrics):
-        out = out.withColumn("_q", F.struct(*columns))
-    inside = "_q.n_words < 10 OR 100 * _q.n_repeat_words > 20 * _q.n_words"
-    verdict = compile_rules(rules)
-    for name in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_bullet_lines", "n_ellipsis_lines", "n_stop_words", "n_repeat_words"):
-        verdict = verdict.replace(name, f"_q.{name}")
-    judged = F.col("_q").withField("base_failed", F.expr(inside)).withField("kept", F.expr(f"NOT ({inside}) AND ({verdict})"))
-    return out.withColumn(into, judged).drop("_q")
+    for columns in _counts(F.col(f"`{text}`")):
+        out = out.withColumn(_Q, F.struct(*columns))
+    failed = f"{_Q}.n_words < 10 OR 100 * {_Q}.n_repeat_words > 20 * {_Q}.n_words"
+    judged = F.col(_Q).withField("base_failed", F.expr(failed)).withField("kept", F.expr(f"NOT ({failed}) AND ({compile_rules(rules, _Q)})"))
+    while into in docs.columns:
+        into += "_"
+    return out.withColumn(_Q, judged).withColumnRenamed(_Q, into)
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass; their columns are unchanged.
 
-    A filter over a deterministic projection is pushed below it, with every count
-    written out anew at each use. A random number beside the counts, at least 0
-    as they all are, keeps the filter above.
+    A filter over the counts would be pushed below them, with every count written
+    out anew at each use; an array of one element for each row that passes,
+    exploded, reads the verdict where it is computed.
     """
-    judged = quality(docs, text, rules, "_quality").withColumn("_quality", F.struct(F.col("_quality.kept").alias("kept"), F.rand(0).alias("r")))
-    return judged.where("_quality.kept AND _quality.r >= 0").drop("_quality")
+    judged = quality(docs, text, rules, _Q)
+    one = F.when(F.col(_Q)["kept"], F.array(F.lit(True)))
+    return judged.select("*", F.explode(one).alias(f"{_Q}k")).drop(_Q, f"{_Q}k")

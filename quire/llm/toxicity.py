@@ -3,17 +3,25 @@
 score = w0 + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j, with x_i = 1 if a text
 holds a term that hashes to i. The pair term learns what additive weights miss,
 such as an insult next to a group's mention. Terms are runs of letters and digits,
-case folded; only the FEATURES hashes with the strongest link to the label in the
-training sample take part, so that a long text isn't judged by its length.
+case folded, in 2 ** BITS hashes.
+
+Features are chosen in two rounds, by the gradient that their weight has while it
+is 0, in standard errors. First terms: those linked to the label by themselves, from
+TERM_Z on. Then pairs: what additive weights of those terms leave is added up for
+every pair of terms that share a text, in a hashed table and then exactly for the
+bins that stand out; both terms of a pair from PAIR_Z on are features, though neither
+may have a link alone. The machine is trained on all of them, without a limit to
+their number.
 
 Training reads a bounded sample of labelled rows, TRAIN_ROWS with the smallest
-hash of doc_id, as hashes of whole texts; the model has a fixed size. Scoring
-reads every whole text.
+hash of doc_id, as hashes of whole texts, and of it for pairs the rows of at most
+PAIR_TERMS distinct terms that occur PAIR_SEEN times. Scoring reads every whole text.
 
 A null or empty text has no term: its score is that of the bias. Repeated rows
-score alike. Rows with a null label or id aren't learnt from; if one class is
-missing every score is the bias'. An empty table gives an empty table. Other
-columns aren't read.
+score alike; of the texts of one doc_id one is learnt, the same in every run. Rows
+with a null label or id aren't learnt from; if one class is missing every score is
+the bias'. An empty table gives an empty table. Other columns, whatever their names,
+aren't read.
 """
 
 from __future__ import annotations
@@ -26,10 +34,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.spans import NOT_ALNUM, runs, text_buffer, words
+from quire.llm.spans import NOT_ALNUM, mix, runs, text_buffer, words
 
 BITS = 20
-TRAIN_ROWS, FEATURES, FACTORS, EPOCHS = 8000, 1024, 4, 30
+TRAIN_ROWS, FACTORS, EPOCHS = 8000, 4, 30
+TERM_Z, PAIR_Z = 3.5, 6.0
+PAIR_SEEN, PAIR_TERMS, PAIR_BITS = 12, 1024, 22
 THRESHOLD = 0.3
 
 
@@ -65,25 +75,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.raw(text[has], feature[has], len(offsets) - 1), -30, 30)))
 
 
-def fit(lists: list[np.ndarray], labels: np.ndarray, features: int = FEATURES, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 11) -> Model:
-    """Learn from each text's distinct terms by minibatches with per-weight steps."""
-    n, rng = len(lists), np.random.default_rng(seed)
-    y = labels.astype(np.float64)
+def _train(lists: list[np.ndarray], y: np.ndarray, chosen: np.ndarray, factors: int, epochs: int, seed: int) -> Model:
+    """Weights of the ``chosen`` terms by minibatches with per-weight steps."""
+    n, rng, features = len(lists), np.random.default_rng(seed), max(len(chosen), 1)
     place = np.full(1 << BITS, -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
     rate = (y.sum() + 0.5) / (n + 1)
-    model = Model(place, float(np.log(rate / (1 - rate))), np.zeros(features), np.zeros((features, factors)))
-    if n == 0 or y.min() == y.max():
-        return model
+    model = Model(place, float(np.log(rate / (1 - rate))), np.zeros(features), rng.normal(0, 0.02, (features, factors)))
     text, term = np.repeat(np.arange(n), [len(x) for x in lists]), np.concatenate(lists)
-    seen, hits = np.bincount(term, minlength=1 << BITS), np.bincount(term, y[text], 1 << BITS)
-    # Terms by how far the label's rate among their texts lies from that of all, in standard errors.
-    z = np.where(seen >= 3, (hits - rate * seen) / np.sqrt(np.maximum(seen * rate * (1 - rate), 1e-9)), 0)
-    chosen = np.sort(np.argsort(-np.abs(z), kind="stable")[:features])
-    place[chosen] = np.arange(len(chosen))
     has = place[term] >= 0
     text, feature = text[has], place[term[has]]
     first = np.searchsorted(text, np.arange(n + 1))
-    model.factors = rng.normal(0, 0.02, (features, factors))
     g_w, g_v, g_b = np.full(features, 1e-8), np.full((features, factors), 1e-8), 1e-8
     for _ in range(epochs):
         order = rng.permutation(n)
@@ -93,18 +95,83 @@ def fit(lists: list[np.ndarray], labels: np.ndarray, features: int = FEATURES, f
             at = np.repeat(first[rows] - np.cumsum(size) + size, size) + np.arange(size.sum())
             local, f = np.repeat(np.arange(len(rows)), size), feature[at]
             error = 1 / (1 + np.exp(-np.clip(model.raw(local, f, len(rows)), -30, 30))) - y[rows]
-            sums = np.stack([np.bincount(local, model.factors[f, c], len(rows)) for c in range(factors)], 1)
             d_b = error.mean()
             d_w = np.bincount(f, error[local], features) / len(rows) + 1e-6 * model.weights
-            part = error[local, None] * (sums[local] - model.factors[f])
-            d_v = np.stack([np.bincount(f, part[:, c], features) for c in range(factors)], 1) / len(rows) + 1e-4 * model.factors
-            g_b, g_w, g_v = g_b + d_b**2, g_w + d_w**2, g_v + d_v**2
+            g_b, g_w = g_b + d_b**2, g_w + d_w**2
+            if factors:
+                sums = np.stack([np.bincount(local, model.factors[f, c], len(rows)) for c in range(factors)], 1)
+                part = error[local, None] * (sums[local] - model.factors[f])
+                d_v = np.stack([np.bincount(f, part[:, c], features) for c in range(factors)], 1) / len(rows) + 1e-4 * model.factors
+                g_v += d_v**2
+                model.factors -= 0.02 * d_v / np.sqrt(g_v)
             model.bias -= 0.1 * d_b / np.sqrt(g_b)
             model.weights -= 0.1 * d_w / np.sqrt(g_w)
-            model.factors -= 0.02 * d_v / np.sqrt(g_v)
     return model
 
 
+def _pair_keys(lists: list[np.ndarray], rows: np.ndarray, keep: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, pair of terms as one number) of the rows with at most PAIR_TERMS kept terms, some millions at a time."""
+    keys: list[np.ndarray] = []
+    of: list[np.ndarray] = []
+    held = 0
+    for row in rows:
+        t = lists[row][keep[lists[row]]]
+        if not 2 <= len(t) <= PAIR_TERMS:
+            continue
+        i, j = np.triu_indices(len(t), 1)
+        keys.append(t[i] << BITS | t[j])
+        of.append(np.full(len(i), row))
+        held += len(i)
+        if held > 1 << 22:
+            yield np.concatenate(of), np.concatenate(keys)
+            keys, of, held = [], [], 0
+    if keys:
+        yield np.concatenate(of), np.concatenate(keys)
+
+
+def linked_pairs(lists: list[np.ndarray], error: np.ndarray, spread: np.ndarray, seen: np.ndarray, least: float = PAIR_Z) -> np.ndarray:
+    """Terms of the pairs whose weight would have a gradient of ``least`` standard errors.
+
+    ``error``: label less score of each text; ``spread``: its variance; ``seen``: texts of each term.
+    """
+    keep, rows = seen >= PAIR_SEEN, np.arange(len(lists))
+    total, var = np.zeros(1 << PAIR_BITS), np.zeros(1 << PAIR_BITS)
+    place = lambda key: (mix(key.astype(np.uint64)) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+    for row, key in _pair_keys(lists, rows, keep):
+        at = place(key)
+        total += np.bincount(at, error[row], 1 << PAIR_BITS)
+        var += np.bincount(at, spread[row], 1 << PAIR_BITS)
+    # A bin's other pairs add their noise: bins are let in at half the bar, pairs in them counted exactly.
+    open_ = np.abs(total) >= least / 2 * np.sqrt(np.maximum(var, 1e-9))
+    found = [(row[on], key[on]) for row, key in _pair_keys(lists, rows, keep) if (on := open_[place(key)]).any()]
+    if not found:
+        return np.zeros(0, np.int64)
+    row, key = (np.concatenate(x) for x in zip(*found, strict=True))
+    pairs, back, n = np.unique(key, return_inverse=True, return_counts=True)
+    z = np.bincount(back, error[row]) / np.sqrt(np.maximum(np.bincount(back, spread[row]), 1e-9))
+    good = pairs[(np.abs(z) >= least) & (n >= PAIR_SEEN)]
+    return np.unique(np.concatenate([good >> BITS, good & (1 << BITS) - 1]))
+
+
+def fit(lists: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 11) -> Model:
+    """Learn from each text's distinct terms."""
+    n, y = len(lists), labels.astype(np.float64)
+    rate = (y.sum() + 0.5) / (n + 1)
+    if n == 0 or y.min() == y.max():
+        return Model(np.full(1 << BITS, -1, np.int32), float(np.log(rate / (1 - rate))), np.zeros(1), np.zeros((1, factors)))
+    text, term = np.repeat(np.arange(n), [len(x) for x in lists]), np.concatenate(lists)
+    seen, hits = np.bincount(term, minlength=1 << BITS), np.bincount(term, y[text], 1 << BITS)
+    z = np.where(seen >= 3, (hits - rate * seen) / np.sqrt(np.maximum(seen * rate * (1 - rate), 1e-9)), 0)
+    chosen = np.flatnonzero(np.abs(z) >= TERM_Z)
+    additive = _train(lists, y, chosen, 0, epochs, seed)
+    feature = additive.place[term]
+    has = feature >= 0
+    p = 1 / (1 + np.exp(-np.clip(additive.raw(text[has], feature[has], n), -30, 30)))
+    # Fitted scores are surer than they should be; a floor keeps single errors from standing out.
+    pairs = linked_pairs(lists, y - p, np.maximum(p * (1 - p), 0.02), seen)
+    return _train(lists, y, np.union1d(chosen, pairs).astype(np.int64), factors, epochs, seed)
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
@@ -129,7 +196,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["id", "y", "terms"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    got = texts.mapInArrow(read, f"id {kind}, y int, terms binary").toPandas().drop_duplicates("id").sort_values("id")
+    # One text of each id, so that no more than ``rows`` reach the driver however often ids repeat.
+    got = texts.mapInArrow(read, f"id {kind}, y int, terms binary").groupBy("id", "y").agg(F.min("terms").alias("terms")).toPandas().sort_values("id")
     return fit([np.frombuffer(x, "<u4").astype(np.int64) for x in got["terms"]], got["y"].to_numpy(np.int64))
 
 
