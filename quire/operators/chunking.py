@@ -7,39 +7,69 @@ documents, so everything partitions by doc_id.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as t
 
 from quire.functions import text as T
+from quire.operators.folds import along
 
+# The types whose text goes into text chunks.
 TEXT_TYPES = ("paragraph", "display_block", "list_item", "caption", "footnote")
 
 
+def _paths(level: list[int | None], text: list[str]) -> list[list[str]]:
+    out: list[list[str]] = []
+    path: list[str] = []
+    for own, said in zip(level, text, strict=True):
+        path = [*path[: max((1 if own is None else int(own)) - 1, 0)], said]
+        out.append(path)
+    return out
+
+
 def heading_paths(blocks: DataFrame) -> DataFrame:
     """(doc_id, ord, path) of every heading: the path before, cut to level - 1 entries, and the heading's text.
 
-    The cut is by length, so a skipped level lengthens the path; only a fold in
+    The cut is by length, so a skipped level lengthens the path; only a pass in
     order gives that. Headings alone are gathered, not the text between them.
     """
-    heads = blocks.where("type = 'heading'").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("ord", "level", "text"))).alias("h"))
-    start = F.struct(F.array().cast("array<string>").alias("path"), F.array().cast("array<struct<ord:bigint,path:array<string>>>").alias("out"))
+    heads = blocks.where("type = 'heading'").select("doc_id", "ord", "level", "text")
+    return along(heads, "ord", ["level", "text"], _paths, "array<string>", "path")
+
+
+@F.pandas_udf(t.ArrayType(t.ArrayType(t.StringType())))
+def _running_paths(is_heading: pd.Series, level: pd.Series, text: pd.Series) -> pd.Series:
+    """The path at each block of a document, that of the last heading so far."""
+
+    def one(heads, levels, texts):
+        paths = iter(_paths([v for h, v in zip(heads, levels, strict=True) if h], [t for h, t in zip(heads, texts, strict=True) if h]))
+        out, path = [], []
+        for h in heads:
+            path = next(paths) if h else path
+            out.append(path)
+        return out
+
+    levels = level.map(lambda x: [None if v is None or v != v else v for v in x])
+    return pd.Series([one(*row) for row in zip(is_heading, levels, text, strict=True)], dtype=object)
 
-    def step(state, h):
-        level = F.coalesce(h["level"], F.lit(1)).cast("int")
-        path = F.concat(F.slice(state["path"], 1, F.greatest(level - 1, F.lit(0))), F.array(h["text"]))
-        return F.struct(path.alias("path"), F.concat(state["out"], F.array(F.struct(h["ord"].cast("bigint").alias("ord"), path.alias("path")))).alias("out"))
 
-    folded = heads.select("doc_id", F.explode(F.aggregate("h", start, step, lambda s: s["out"])).alias("p"))
-    return folded.select("doc_id", "p.ord", "p.path")
+def _with_paths(blocks: DataFrame) -> DataFrame:
+    """``blocks`` and ``_path``, the headings above each; every document is gathered once, as its chunks are anyway."""
+    row = F.struct("ord", *[c for c in blocks.columns if c not in ("doc_id", "ord")])
+    g = blocks.groupBy("doc_id").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    head = F.transform("rows", lambda r: F.coalesce(r["type"] == "heading", F.lit(False)))
+    texts = F.transform("rows", lambda r: F.when(r["type"] == "heading", r["text"]))
+    g = g.withColumn("paths", _running_paths(head, F.transform("rows", lambda r: r["level"]), texts))
+    return g.select("doc_id", F.explode(F.arrays_zip("rows", "paths")).alias("z")).select("doc_id", "z.rows.*", F.col("z.paths").alias("_path"))
 
 
 def chunks(blocks: DataFrame, documents: DataFrame) -> DataFrame:
     """Chunk rows: a run of text blocks between headings and tables, or one table."""
     order = Window.partitionBy("doc_id").orderBy("ord")
-    b = blocks.withColumn("_part", F.sum(F.when(F.col("type").isin("heading", "table"), 1).otherwise(0)).over(order))
+    b = _with_paths(blocks).withColumn("_part", F.sum(F.when(F.col("type").isin("heading", "table"), 1).otherwise(0)).over(order))
     held = F.col("type").isin(*TEXT_TYPES) & (F.coalesce("text", F.lit("")) != "")
-    b = b.join(heading_paths(blocks), ["doc_id", "ord"], "left")
-    b = b.withColumn("_path", F.coalesce(F.last("path", ignorenulls=True).over(order), F.array().cast("array<string>"))).where(held | (F.col("type") == "table"))
+    b = b.where(held | (F.col("type") == "table"))
     b = b.withColumn("_table", F.col("type") == "table").withColumn("_text", F.when(F.col("type") == "footnote", T.strip_note_marker(F.col("text"), F.col("note_marker"))).otherwise(F.coalesce("text", F.lit(""))))
     ref = F.when(F.col("page").isNotNull(), F.struct("page", "bbox"))
     rows = F.sort_array(F.collect_list(F.struct("ord", "block_id", F.col("_text").alias("text"), ref.alias("ref"))))

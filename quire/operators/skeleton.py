@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
+from quire.operators.folds import along
 
 # Costs of the start page assignment.
 SKIP_COST, MAX_OFFSET = 24.0, 128
@@ -52,14 +53,27 @@ def prune(entries: DataFrame) -> DataFrame:
     return e.withColumn("candidates", F.filter("candidates", lambda p: (p >= F.col("_low")) & (p <= F.col("_high")))).drop("_low", "_high")
 
 
+def _parents(at: list[int], level: list[int], may: list[bool]) -> list[int | None]:
+    out: list[int | None] = []
+    open_: list[tuple[int, int]] = []
+    for i, own, parent in zip(at, level, may, strict=True):
+        while open_ and open_[-1][0] >= own:
+            open_.pop()
+        out.append(int(open_[-1][1]) if open_ else None)
+        if parent:
+            open_.append((own, i))
+    return out
+
+
 def hierarchy(entries: DataFrame) -> DataFrame:
-    """``parent_index``: the nearest earlier entry of a smaller level.
+    """``parent_index``: the nearest earlier entry of a smaller level, whatever the levels are.
 
-    For each level the last entry of it is carried forward; the parent is the latest of those below the own level.
+    One pass with a stack of open ancestors. An entry whose ``is_parent``, if there is such a column, is false closes
+    deeper ones but is no parent itself.
     """
-    w = Window.partitionBy("doc_id").orderBy("entry_index").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = [F.when(F.col("level") > k, F.last(F.when(F.col("level") == k, F.col("entry_index")), ignorenulls=True).over(w)) for k in range(1, 7)]
-    return entries.withColumn("parent_index", F.array_max(F.array(*earlier)))
+    may = F.coalesce(F.col("is_parent"), F.lit(True)) if "is_parent" in entries.columns else F.lit(True)
+    e = entries.select("doc_id", "entry_index", F.col("entry_index").alias("_i"), "level", may.alias("_may"))
+    return entries.join(along(e, "entry_index", ["_i", "level", "_may"], _parents, "bigint", "parent_index"), ["doc_id", "entry_index"], "left")
 
 
 def monotonic_starts(entries: DataFrame) -> DataFrame:

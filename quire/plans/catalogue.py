@@ -11,6 +11,7 @@ from quire.functions import geometry
 from quire.functions import text as T
 from quire.operators import chunking, constraints, flow, graph, layout, notes, skeleton, tables, vectors
 from quire.plans import derived as D
+from quire.plans import functions_queries
 from quire.sources import html
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,11 +32,11 @@ def _query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | functions_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | functions_queries.SQL
 
 
 # Text functions

@@ -22,26 +22,34 @@ _HOLDERS = {"p", "li", "blockquote"} | _HEADINGS
 
 
 class _Blocks(HTMLParser):
+    """Text inside open holders; an opening tag drops what is pending, the end of any holder gives it out."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.tag: str | None = None
+        self.open: list[str] = []
         self.held: list[str] = []
         self.blocks: list[tuple[str, str]] = []
+        self.titled = False
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _HOLDERS:
-            self.tag, self.held = tag, []
+            self.open.append(tag)
+            self.held = []
 
     def handle_data(self, data: str) -> None:
-        if self.tag:
+        if self.open:
             self.held.append(data)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag == self.tag:
-            if said := " ".join("".join(self.held).split()):
-                first = tag in _HEADINGS and not any(kind == "heading" for kind, _ in self.blocks)
-                self.blocks.append(("heading" if first else "paragraph", said))
-            self.tag = None
+        if tag not in _HOLDERS:
+            return
+        if said := " ".join("".join(self.held).split()):
+            first = tag in _HEADINGS and not self.titled
+            self.titled |= first
+            self.blocks.append(("heading" if first else "paragraph", said))
+        self.held = []
+        if self.open:
+            self.open.pop()
 
 
 def read_blocks(html: str | None) -> list[tuple[str, str]]:
@@ -64,6 +72,8 @@ class _Cells(HTMLParser):
             self.rows = self.rows or [[]]
             self.rows[-1].append("")
             self.open = True
+        elif tag == "br":
+            self.handle_data(" ")
 
     def handle_endtag(self, tag: str) -> None:
         if tag in ("td", "th"):

@@ -134,7 +134,8 @@ def load_inputs(pages: DataFrame | None, items: DataFrame | None, middle: DataFr
     return replace_footnotes(flat, middle, sizes), sizes
 
 
-def check_docstore(rows: DataFrame) -> DataFrame:
-    """Rows whose vector_id breaks the contiguous sequence from 0."""
-    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.min("vector_id").alias("lo"), F.max("vector_id").alias("hi"), F.countDistinct("vector_id").alias("d"))
+def check_docstore(rows: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Counts of the stores, one for each of ``keys``, whose vector_id isn't the contiguous sequence from 0."""
+    g = rows.groupBy(*(keys or []))
+    stats = g.agg(F.count(F.lit(1)).alias("n"), F.min("vector_id").alias("lo"), F.max("vector_id").alias("hi"), F.countDistinct("vector_id").alias("d"))
     return stats.where("n > 0 AND (lo <> 0 OR hi <> n - 1 OR d <> n)")

@@ -222,3 +222,26 @@ def test_footnotes_of_the_middle_file(spark):
     assert [r["text"] for r in records.load_inputs(None, flat, middle)[0].orderBy("ord").collect()] == ["direct", "body", "nested", "2 lost note", "kept"]
     with pytest.raises(ValueError, match="required"):
         records.load_inputs(None, None, middle)
+
+
+def test_nested_html_blocks():
+    from quire.sources.html import read_blocks, table_text
+
+    assert read_blocks("<blockquote><p>a</p>b</blockquote>") == [("paragraph", "a"), ("paragraph", "b")]
+    assert read_blocks("<li>x<p>y</p>z</li>") == [("paragraph", "y"), ("paragraph", "z")]
+    assert read_blocks("<h2> T </h2><p>one <b>two</b></p>out<h1>U</h1>") == [("heading", "T"), ("paragraph", "one two"), ("paragraph", "U")]
+    assert read_blocks(None) == [] and read_blocks("plain") == []
+    assert table_text("<table><tr><td>a<br>b</td><th> c  d</th></tr><tr></tr><tr><td>e</td></tr></table>") == "a b\tc d\ne"
+
+
+def test_hierarchy_of_any_level(spark):
+    import random
+
+    from quire.operators import skeleton
+
+    rng = random.Random(3)
+    rows = [(d, i, rng.choice([-2, 0, 1, 2, 3, 7, 11, 40])) for d in range(5) for i in range(60)]
+    got = {(r["doc_id"], r["entry_index"]): r["parent_index"] for r in skeleton.hierarchy(spark.createDataFrame(rows, "doc_id long, entry_index long, level long")).collect()}
+    level = {(d, i): v for d, i, v in rows}
+    for (d, i), v in level.items():
+        assert got[d, i] == max((j for j in range(i) if level[d, j] < v), default=None)
