@@ -70,22 +70,34 @@ def display_gap_threshold(normal_gap: Column, line_height: Column) -> Column:
     return F.coalesce(F.greatest(normal_gap * 2.5, normal_gap + 18), F.greatest(F.lit(24.0), line_height * 0.45), F.lit(24.0))
 
 
-def display_signals(x0: Column, y0: Column, x1: Column, y1: Column, left: Column, right: Column, lane: Column) -> Column:
-    """Names of what sets a box off its body lane (F5, geometry signals)."""
+def display_signals(x0: Column, y0: Column, x1: Column, y1: Column, left: Column, right: Column, lane: Column, indent: Column | None = None, gap_before: Column | None = None, gap_after: Column | None = None) -> Column:
+    """Names of what sets a box off its body lane.
+
+    ``indent`` is the book's indent unit, by default or where null or 0 the larger of 24 and 4 % of the lane; the gaps say
+    whether a display gap lies before or after.
+    """
     w, li, ri = x1 - x0, x0 - left, right - x1
+    default = F.greatest(F.lit(24.0), lane * 0.04)
+    unit = default if indent is None else F.when(indent > 0, indent).otherwise(default)
     inset = (li >= lane * 0.12) & (ri >= lane * 0.08)
     set_off = (w <= lane * 0.96) & (li >= lane * 0.05) & (ri >= lane * -0.03)
     tall = (w >= lane * 0.94) & (w <= lane * 0.98) & (li >= F.greatest(F.lit(24.0), lane * 0.03)) & (ri >= lane * -0.03) & (y1 - y0 >= 80)
     second = F.when(inset, "inset_from_body_lane").when(set_off, "left_inset_set_off_text").when(tall, "slightly_inset_tall_block")
-    return F.filter(F.array(F.when(w <= lane * 0.72, "narrower_than_body_lane"), second), lambda s: s.isNotNull())
+    indented = (w <= lane - unit * 0.5) & (li >= F.greatest(F.lit(12.0), unit * 0.85)) & (ri >= -unit)
+    attribution = (F.abs(x1 - right) <= F.greatest(F.lit(24.0), unit * 1.5)) & (w <= lane * 0.55) & (x0 >= left + lane * 0.4)
+    on = lambda c, name: F.when(F.lit(False) if c is None else c, name)
+    every = (F.when(w <= lane * 0.72, "narrower_than_body_lane"), second, on(indented, "book_indent_set_off_text"), on(attribution, "right_aligned_attribution"), on(gap_before, "display_gap_before"), on(gap_after, "display_gap_after"))
+    return F.filter(F.array(*every), lambda s: s.isNotNull())
 
 
-def is_display(signals: Column, gap_before: Column, gap_after: Column) -> Column:
-    """F6."""
+def is_display(signals: Column, gap_before: Column | None = None, gap_after: Column | None = None) -> Column:
+    """F6; gaps are read from the signals where they aren't given."""
     has = lambda s: F.array_contains(signals, s)
+    before = has("display_gap_before") if gap_before is None else gap_before
+    after = has("display_gap_after") if gap_after is None else gap_after
     strong = has("narrower_than_body_lane") & has("inset_from_body_lane")
-    prose = has("left_inset_set_off_text") | has("slightly_inset_tall_block")
-    return (strong & (gap_before | gap_after)) | (prose & gap_before & gap_after)
+    prose = has("left_inset_set_off_text") | has("slightly_inset_tall_block") | has("book_indent_set_off_text")
+    return ((strong | has("right_aligned_attribution")) & (before | after)) | (prose & before & after)
 
 
 def runs(rows: DataFrame, keys: list[str], order: list[str], same: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from quire.functions import geometry
 from quire.functions import text as T
 from quire.operators import chunking, constraints, flow, graph, layout, notes, skeleton, tables, vectors
 from quire.plans import derived as D
-from quire.plans import epub_queries, functions_queries  # noqa: F401  the former registers with the latter
+from quire.plans import epub_queries, functions_queries, page_queries  # noqa: F401  the former registers with the latter
 from quire.sources import html
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,15 +211,20 @@ def same_page_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("doc_id", "page", "run", "kind", "n", "first", "last", *(F.col("b")[i].alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))))
 
 
-@_query(f"""WITH {_PROFILE}, s AS (SELECT o.doc_id, o.ord, o.x0 - f.l AS li, f.r - o.x1 AS ri, o.x1 - o.x0 AS w, f.bw AS b, o.y1 - o.y0 AS h FROM o JOIN f USING (doc_id, page) WHERE f.reason = '')
-SELECT doc_id, ord, concat_ws(',', CASE WHEN w <= b * 0.72 THEN 'narrower_than_body_lane' END, CASE WHEN li >= b * 0.12 AND ri >= b * 0.08 THEN 'inset_from_body_lane' WHEN w <= b * 0.96 AND li >= b * 0.05 AND ri >= b * -0.03 THEN 'left_inset_set_off_text'
- WHEN w >= b * 0.94 AND w <= b * 0.98 AND li >= greatest(24, b * 0.03) AND ri >= b * -0.03 AND h >= 80 THEN 'slightly_inset_tall_block' END) AS signals FROM s""")
+_SIGNALS = f"""{_PROFILE}, s0 AS (SELECT o.*, o.x0 - f.l AS li, f.r - o.x1 AS ri, o.x1 - o.x0 AS w, f.bw AS b, f.l, f.r, o.y1 - o.y0 AS h, CASE WHEN o.n % 2 = 0 THEN 30.0::DOUBLE ELSE greatest(24.0, f.bw * 0.04) END AS u, o.n % 3 = 0 AS gb, o.n % 4 < 2 AS ga FROM o JOIN f USING (doc_id, page) WHERE f.reason = ''),
+s AS (SELECT doc_id, ord, concat_ws(',', CASE WHEN w <= b * 0.72 THEN 'narrower_than_body_lane' END, CASE WHEN li >= b * 0.12 AND ri >= b * 0.08 THEN 'inset_from_body_lane' WHEN w <= b * 0.96 AND li >= b * 0.05 AND ri >= b * -0.03 THEN 'left_inset_set_off_text'
+ WHEN w >= b * 0.94 AND w <= b * 0.98 AND li >= greatest(24, b * 0.03) AND ri >= b * -0.03 AND h >= 80 THEN 'slightly_inset_tall_block' END, CASE WHEN w <= b - u * 0.5 AND li >= greatest(12, u * 0.85) AND ri >= -u THEN 'book_indent_set_off_text' END,
+ CASE WHEN abs(x1 - r) <= greatest(24, u * 1.5) AND w <= b * 0.55 AND x0 >= l + b * 0.4 THEN 'right_aligned_attribution' END, CASE WHEN gb THEN 'display_gap_before' END, CASE WHEN ga THEN 'display_gap_after' END) AS signals FROM s0)"""
+
+
+@_query(f"""WITH {_SIGNALS}, h AS (SELECT *, ',' || signals || ',' AS q FROM s) SELECT doc_id, ord, signals, ((q LIKE '%,right_aligned_attribution,%' OR (q LIKE '%,narrower_than_body_lane,%' AND q LIKE '%,inset_from_body_lane,%')) AND (q LIKE '%,display_gap_before,%' OR q LIKE '%,display_gap_after,%'))
+ OR ((q LIKE '%,left_inset_set_off_text,%' OR q LIKE '%,slightly_inset_tall_block,%' OR q LIKE '%,book_indent_set_off_text,%') AND q LIKE '%,display_gap_before,%' AND q LIKE '%,display_gap_after,%') AS is_display FROM h""")
 def display_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F5."""
+    """all eight signals and the decision."""
     o = D.observations(spark, sf_dir)
     p = layout.page_profiles(o, D.pages(o)).where("reason = ''")
-    s = layout.display_signals(*(F.col(c) for c in ("x0", "y0", "x1", "y1", "body_left", "body_right", "body_width")))
-    return o.join(p, ["doc_id", "page"]).select("doc_id", "ord", F.array_join(s, ",").alias("signals"))
+    s = layout.display_signals(*(F.col(c) for c in ("x0", "y0", "x1", "y1", "body_left", "body_right", "body_width")), F.when(F.col("n") % 2 == 0, 30.0), F.col("n") % 3 == 0, F.col("n") % 4 < 2)
+    return o.join(p, ["doc_id", "page"]).withColumn("s", s).select("doc_id", "ord", F.array_join("s", ",").alias("signals"), layout.is_display(F.col("s")).alias("is_display"))
 
 
 @_query(f"WITH {D.OBSERVATIONS} SELECT doc_id, list_sort(list(x1))[least(count(*) - 1, floor(count(*) * 0.95)::BIGINT) + 1] AS page_width FROM o GROUP BY doc_id")
