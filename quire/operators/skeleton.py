@@ -57,19 +57,20 @@ def _parents(at: list[int], level: list[int], may: list[bool]) -> list[int | Non
     out: list[int | None] = []
     open_: list[tuple[int, int]] = []
     for i, own, parent in zip(at, level, may, strict=True):
-        while open_ and open_[-1][0] >= own:
-            open_.pop()
-        out.append(int(open_[-1][1]) if open_ else None)
+        k = len(open_)
+        while k and open_[k - 1][0] >= own:
+            k -= 1
+        out.append(int(open_[k - 1][1]) if k else None)
         if parent:
-            open_.append((own, i))
+            open_[k:] = [(own, i)]
     return out
 
 
 def hierarchy(entries: DataFrame) -> DataFrame:
     """``parent_index``: the nearest earlier entry of a smaller level, whatever the levels are.
 
-    One pass with a stack of open ancestors. An entry whose ``is_parent``, if there is such a column, is false closes
-    deeper ones but is no parent itself.
+    One pass with a stack of open ancestors. An entry whose ``is_parent``, if there is such a column, is false is no
+    parent and closes none.
     """
     may = F.coalesce(F.col("is_parent"), F.lit(True)) if "is_parent" in entries.columns else F.lit(True)
     e = entries.select("doc_id", "entry_index", F.col("entry_index").alias("_i"), "level", may.alias("_may"))
