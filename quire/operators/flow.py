@@ -17,6 +17,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _ENDS = re.compile(r"[.!?。！？…:：;；\"'”’」』)）]\s*$")
 _EDGE = r"\s，,。.：:；;、—-"
@@ -31,7 +32,8 @@ def reconcile(units: DataFrame) -> DataFrame:
     footnote that ends in a mark for the next page takes the first one there
     that begins with a mark for the page before, whatever lies between, and
     neighbouring displays over a page break are one. Footnotes and figures between the halves
-    of a paragraph don't part it.
+    of a paragraph don't part it. A null text is empty; units with a null page join nothing; very
+    long documents are one task's; empty tables give empty tables.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -68,5 +70,5 @@ def reconcile(units: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["doc_id", "unit_no", "unit_type", "text", "first_page", "last_page", "n_merged"])
 
     kind = units.schema["doc_id"].dataType.simpleString()
-    slim = units.select("doc_id", "ord", "unit_type", "text", units["page"].cast("long").alias("page"))
+    slim = units.select("doc_id", "ord", "unit_type", F.coalesce("text", F.lit("")).alias("text"), units["page"].cast("long").alias("page"))
     return slim.groupBy("doc_id").applyInPandas(run, f"doc_id {kind}, unit_no long, unit_type string, text string, first_page long, last_page long, n_merged long")

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.sources.folders import stored
+
 # Rows of a block, partitions of a query set.
 MOST_ROWS, QUERY_PARTS = 4096, 4
 
@@ -88,9 +90,10 @@ def top_k_batch(vectors: DataFrame, queries: DataFrame, k: int, most_queries: in
 def docstore(rows: DataFrame, order: Column) -> DataFrame:
     """Rows with contiguous ``vector_id`` from 0 in the given order, without one task for all.
 
-    Rows are range-partitioned; each partition's offset is the count of those before it.
+    Rows are range-partitioned and written once, so that each keeps the partition it was counted in; a
+    partition's offset is the count of those before it.
     """
-    ranged = rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id())
+    ranged = stored(rows.repartitionByRange(order).withColumn("_p", F.spark_partition_id()), "docstore")
     counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("_p", before.alias("_before"))  # one row a partition

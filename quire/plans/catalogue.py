@@ -54,18 +54,17 @@ def normalize_ws(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.lines(spark, sf_dir).select("doc_id", "ord", T.normalise_ws(F.col("line")).alias("line"))
 
 
-@_query(r"SELECT doc_id, regexp_replace(string_split(text, chr(10))[1], '[\s,.:;/\\\-–—·•…*()\[\]]+', '', 'g') AS title_key FROM documents")
+@_query(rf"WITH {D.LINES} SELECT doc_id, ord, regexp_replace(line, '[{_WHITE},，.。:：;；/／\\\-—–·•…*＊①②③④⑤⑥⑦⑧⑨⑩《》〈〉（）()【】\[\]]+', '', 'g') AS title_key FROM l")
 def title_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C18."""
-    return D.table(spark, sf_dir, "documents").select("doc_id", T.title_key(F.split("text", "\n")[0]).alias("title_key"))
+    """Every line as a title."""
+    return D.lines(spark, sf_dir).select("doc_id", "ord", T.title_key(F.col("line")).alias("title_key"))
 
 
-@_query(f"""WITH {D.LINES}, m AS (SELECT doc_id, ord, CASE n % 5 WHEN 0 THEN (n % 10)::VARCHAR || '. ' || line WHEN 1 THEN '* ' || line WHEN 2 THEN (n % 10)::VARCHAR || 'rd ' || line WHEN 3 THEN '1999 ' || line ELSE '† ' || line END AS text,
- CASE n % 5 WHEN 0 THEN (n % 10)::VARCHAR WHEN 1 THEN '*' END AS marker FROM l WHERE n > 0 AND substr(line, 1, 1) NOT IN (' ', chr(9)))
-SELECT doc_id, ord, CASE WHEN regexp_matches(text, '^([0-9]{{1,2}}[. ]|[*†] )[ ]*.') THEN regexp_replace(text, '^([0-9]{{1,2}}(\\. *| +)|[*†] +)', '') ELSE text END AS text FROM m""")
+@_query(rf"""WITH {D.LINES}, m AS (SELECT doc_id, ord, CASE n % 5 WHEN 0 THEN (n % 10)::VARCHAR || '. ' || line WHEN 1 THEN '* ' || line WHEN 2 THEN (n % 10)::VARCHAR || 'rd ' || line WHEN 3 THEN '1999 ' || line ELSE '† ' || line END AS text FROM l),
+y AS (SELECT *, regexp_replace(text, '^([0-9]{{1,2}}|[*†])([{_WHITE}]+|[.．、:：)）\]］][{_WHITE}]*)', '') AS cut FROM m) SELECT doc_id, ord, CASE WHEN cut <> '' THEN cut ELSE text END AS text FROM y""")
 def strip_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C3."""
-    m = D.lines(spark, sf_dir).where("n > 0 AND substr(line, 1, 1) NOT IN (' ', '\t')").selectExpr(
+    m = D.lines(spark, sf_dir).selectExpr(
         "doc_id", "ord", "CASE n % 5 WHEN 0 THEN concat(n % 10, '. ', line) WHEN 1 THEN concat('* ', line) WHEN 2 THEN concat(n % 10, 'rd ', line) WHEN 3 THEN concat('1999 ', line) ELSE concat('† ', line) END AS text",
         "CASE n % 5 WHEN 0 THEN cast(n % 10 AS string) WHEN 1 THEN '*' END AS marker",
     )
@@ -92,17 +91,10 @@ def rag_chunks_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.chunks(blocks, docs).select("doc_id", "chunk_id", "text", "chapter_title", F.array_join("block_ids", ",").alias("block_ids"), "token_count")
 
 
-@_query(f"""WITH RECURSIVE {D.LINES}, h AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS k, ord, (1 + n % 4)::INT AS level, substr(line, 1, 8) AS t FROM l),
+@_query(f"""WITH RECURSIVE {D.LINES}, h AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS k, ord, (1 + n % 4)::INT AS level, line AS t FROM l),
 f AS (SELECT doc_id, k, ord, [t] AS path FROM h WHERE k = 1 UNION ALL SELECT h.doc_id, h.k, h.ord, list_concat(f.path[1 : h.level - 1], [h.t]) FROM f JOIN h ON h.doc_id = f.doc_id AND h.k = f.k + 1)
 SELECT doc_id, ord, array_to_string(path, ' > ') AS path FROM f""")
 def rag_heading_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line a heading of level 1 + length % 4."""
-    h = D.lines(spark, sf_dir).select("doc_id", "ord", F.lit("heading").alias("type"), (1 + F.col("n") % 4).cast("int").alias("level"), F.substring("line", 1, 8).alias("text"))
-    return chunking.heading_paths(h).select("doc_id", "ord", F.array_join("path", " > ").alias("path"))
-
-
-@_query()
-def rag_heading_path_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line, in full, a heading of level 1 + length % 4."""
     h = D.lines(spark, sf_dir).select("doc_id", "ord", F.lit("heading").alias("type"), (1 + F.col("n") % 4).cast("int").alias("level"), F.col("line").alias("text"))
     return chunking.heading_paths(h).select("doc_id", "ord", F.array_join("path", " > ").alias("path"))
@@ -139,15 +131,8 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(_vectors(spark, sf_dir), query, 10).select(F.col("rank").cast("long").alias("rank"), "vector_id", F.round("score", 9).alias("score"))
 
 
-@_query(f"SELECT query_id, rank, vector_id, round(score, 9) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vector_id) AS rank FROM (SELECT q.vec_id AS query_id, v.vec_id AS vector_id, {_DOT} AS score FROM embeddings v, (SELECT * FROM embeddings WHERE vec_id < 20) q)) WHERE rank <= 5")
+@_query(f"SELECT query_id, rank, vector_id, round(score, 9) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vector_id) AS rank FROM (SELECT q.vec_id AS query_id, v.vec_id AS vector_id, {_DOT} AS score FROM embeddings v, (SELECT * FROM embeddings WHERE vec_id % 20 = 0) q)) WHERE rank <= 5")
 def vector_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O5 for twenty stated queries."""
-    q = _vectors(spark, sf_dir).where("vector_id < 20").select(F.col("vector_id").alias("query_id"), F.col("embedding").alias("query"))
-    return vectors.top_k_batch(_vectors(spark, sf_dir), q, 5).select("query_id", F.col("rank").cast("long").alias("rank"), "vector_id", F.round("score", 9).alias("score"))
-
-
-@_query()
-def vector_topk_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O5 for every row whose id is divisible by 20, against all rows."""
     q = _vectors(spark, sf_dir).where("vector_id % 20 = 0").select(F.col("vector_id").alias("query_id"), F.col("embedding").alias("query"))
     return vectors.top_k_batch(_vectors(spark, sf_dir), q, 5).select("query_id", F.col("rank").cast("long").alias("rank"), "vector_id", F.round("score", 9).alias("score"))
@@ -261,14 +246,15 @@ def edge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Tables
 
 
-_RUNS = f"""{D.LINES}, t0 AS (SELECT doc_id, ord // 2 + n % 2 AS page, ord, n % 3 = 0 AS prim FROM l WHERE n % 7 < 5),
+_RUNS = f"""{D.LINES}, t0 AS (SELECT doc_id, ord // 2 + n % 2 + ord // 14 * 2 AS page, ord, n % 3 = 0 AS prim FROM l),
 t1 AS (SELECT *, page - lag(page) OVER w AS step FROM t0 WINDOW w AS (PARTITION BY doc_id ORDER BY page, ord)),
 t2 AS (SELECT *, sum(CASE WHEN prim OR step IS NULL OR step <> 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY page, ord) AS run, sum(prim::INT) OVER (PARTITION BY doc_id ORDER BY page, ord) AS no FROM t1),
 t3 AS (SELECT doc_id, page, ord, prim AS is_primary, CASE WHEN max(prim::INT) OVER (PARTITION BY doc_id, run) = 1 THEN no::BIGINT END AS table_no FROM t2)"""
 
 
 def _table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = D.lines(spark, sf_dir).where("n % 7 < 5").select("doc_id", F.expr("ord div 2 + n % 2").alias("page"), "ord", F.when(F.col("n") % 3 == 0, "<table/>").otherwise("").alias("html"))
+    """Every line a row, with two pages left out after the pages of each 14 lines."""
+    rows = D.lines(spark, sf_dir).select("doc_id", F.expr("ord div 2 + n % 2 + ord div 14 * 2").alias("page"), "ord", F.when(F.col("n") % 3 == 0, "<table/>").otherwise("").alias("html"))
     return tables.table_runs(rows)
 
 
@@ -286,35 +272,16 @@ def table_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.partition(t, review)
 
 
-def _all_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line a row, with two pages left out after the pages of each 14 lines."""
-    return D.lines(spark, sf_dir).select("doc_id", F.expr("ord div 2 + n % 2 + ord div 14 * 2").alias("page"), "ord", F.when(F.col("n") % 3 == 0, "<table/>").otherwise("").alias("html"))
-
-
-@_query()
-def table_runs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W15 over all lines."""
-    return tables.table_runs(_all_table_rows(spark, sf_dir))
-
-
-@_query()
-def table_partition_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U2 over all lines."""
-    t = tables.table_runs(_all_table_rows(spark, sf_dir))
-    review = t.select("doc_id", "page").distinct().withColumn("action", F.when(F.col("page") % 4 == 0, "exclude").otherwise("include"))
-    return tables.partition(t, review)
-
-
 # Notes
 
 
-_REFS = "r AS (SELECT l_orderkey AS doc_id, l_linenumber AS ref_id, l_partkey % 3 AS page, (l_suppkey % 4)::VARCHAR AS marker FROM lineitem), n AS (SELECT l_orderkey AS doc_id, l_linenumber + 100 AS note_id, l_suppkey % 3 AS page, (l_partkey % 4)::VARCHAR AS marker FROM lineitem WHERE l_linenumber % 2 = 0)"
+_REFS = "r AS (SELECT l_orderkey AS doc_id, l_linenumber AS ref_id, l_partkey % 3 AS page, (l_suppkey % 4)::VARCHAR AS marker FROM lineitem), n AS (SELECT l_orderkey AS doc_id, l_linenumber + 100 AS note_id, l_suppkey % 3 AS page, (l_partkey % 4)::VARCHAR AS marker FROM lineitem)"
 
 
 def _refs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     li = D.table(spark, sf_dir, "lineitem")
     refs = li.selectExpr("l_orderkey AS doc_id", "l_linenumber AS ref_id", "l_partkey % 3 AS page", "cast(l_suppkey % 4 AS string) AS marker")
-    return refs, li.where("l_linenumber % 2 = 0").selectExpr("l_orderkey AS doc_id", "l_linenumber + 100 AS note_id", "l_suppkey % 3 AS page", "cast(l_partkey % 4 AS string) AS marker")
+    return refs, li.selectExpr("l_orderkey AS doc_id", "l_linenumber + 100 AS note_id", "l_suppkey % 3 AS page", "cast(l_partkey % 4 AS string) AS marker")
 
 
 @_query(f"""WITH {_REFS}, k AS (SELECT doc_id, page, marker, min(note_id) AS a, max(note_id) AS b FROM n GROUP BY ALL)
@@ -422,14 +389,14 @@ def graph_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.audit(graph.records(_units(spark, sf_dir)))
 
 
-@_query("""WITH a AS (SELECT doc_id, lang, n_chars FROM documents WHERE doc_id % 7 <> 0), b AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'xx' ELSE lang END AS lang, CASE WHEN doc_id % 6 = 0 THEN n_chars + 1 ELSE n_chars END AS n_chars FROM documents WHERE doc_id % 11 <> 0)
+@_query("""WITH a AS (SELECT doc_id + CASE WHEN doc_id % 7 = 0 THEN 1000000000 ELSE 0 END AS doc_id, lang, n_chars FROM documents), b AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'xx' ELSE lang END AS lang, CASE WHEN doc_id % 6 = 0 THEN n_chars + 1 ELSE n_chars END AS n_chars FROM documents)
 SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN b.doc_id IS NULL THEN 'added' WHEN a.doc_id IS NULL THEN 'removed' WHEN a.lang IS DISTINCT FROM b.lang OR a.n_chars IS DISTINCT FROM b.n_chars THEN 'changed' ELSE 'same' END AS change,
  CASE WHEN a.doc_id IS NULL OR b.doc_id IS NULL THEN '' ELSE concat_ws(',', CASE WHEN a.lang IS DISTINCT FROM b.lang THEN 'lang' END, CASE WHEN a.n_chars IS DISTINCT FROM b.n_chars THEN 'n_chars' END) END AS fields FROM a FULL JOIN b ON a.doc_id = b.doc_id""")
 def projection_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J19."""
     d = D.table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    old = d.where("doc_id % 11 <> 0").selectExpr("doc_id", "if(doc_id % 5 = 0, 'xx', lang) AS lang", "if(doc_id % 6 = 0, n_chars + 1, n_chars) AS n_chars")
-    return graph.difference(d.where("doc_id % 7 <> 0"), old, ["doc_id"], ["lang", "n_chars"])
+    old = d.selectExpr("doc_id", "if(doc_id % 5 = 0, 'xx', lang) AS lang", "if(doc_id % 6 = 0, n_chars + 1, n_chars) AS n_chars")
+    return graph.difference(d.withColumn("doc_id", F.expr("doc_id + if(doc_id % 7 = 0, 1000000000, 0)")), old, ["doc_id"], ["lang", "n_chars"])
 
 
 @_query("SELECT doc_id, 'missing:key' AS rule, doc_id::VARCHAR AS detail FROM (SELECT doc_id FROM documents EXCEPT ALL SELECT doc_id FROM labels) UNION ALL SELECT doc_id, 'extra:key', doc_id::VARCHAR FROM (SELECT doc_id FROM labels EXCEPT ALL SELECT doc_id FROM documents)")

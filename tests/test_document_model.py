@@ -196,11 +196,11 @@ def test_whole_lines_brute_force(spark):
                 of_table.setdefault(number, []).append(page % 4 != 0)
         status |= {(doc_id, t): (len(p), sum(p), "admitted" if all(p) else "unresolved" if any(p) else "excluded") for t, p in of_table.items()}
     q = catalogue.queries()
-    assert {(r["doc_id"], r["ord"]): r["path"] for r in q["rag_heading_path_whole"](spark, sf).collect()} == paths
+    assert {(r["doc_id"], r["ord"]): r["path"] for r in q["rag_heading_path"](spark, sf).collect()} == paths
     assert max(map(len, paths.values())) > 5000
-    assert {(r["doc_id"], r["ord"]): (r["page"], r["is_primary"], r["table_no"]) for r in q["table_runs_whole"](spark, sf).collect()} == runs
+    assert {(r["doc_id"], r["ord"]): (r["page"], r["is_primary"], r["table_no"]) for r in q["table_runs"](spark, sf).collect()} == runs
     assert {t for _, _, t in runs.values()} > {None} and len(runs) == len(paths)
-    assert {(r["doc_id"], r["table_no"]): (r["n_pages"], r["n_included"], r["status"]) for r in q["table_partition_whole"](spark, sf).collect()} == status
+    assert {(r["doc_id"], r["table_no"]): (r["n_pages"], r["n_included"], r["status"]) for r in q["table_partition"](spark, sf).collect()} == status
 
 
 def test_footnotes_of_the_middle_file(spark):
