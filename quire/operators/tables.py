@@ -39,3 +39,33 @@ def strongest_action(rows: DataFrame, priority: tuple[str, ...] = ("exclude", "m
     """One action per (doc_id, page): the last of ``priority`` that a row has."""
     rank = F.array_position(F.array(*[F.lit(p) for p in priority]), F.col("action"))
     return rows.groupBy("doc_id", "page").agg(F.max_by("action", rank).alias("action"))
+
+
+def table_flow(observations: DataFrame, captions: DataFrame, review: DataFrame) -> DataFrame:
+    """Every run of table observations with its fate: doc_id, first_ord, status, reason, table_id, pages, observation_ids, caption_ids, html.
+
+    observations: doc_id, ord (their order), page, observation_id, html (null: no content that was read; blank: goes on);
+    captions: doc_id, parent_id, observation_id, ord; review: doc_id, page, action. A run is a table and the blank ones
+    on the pages right after it. Tables with all pages included are admitted and numbered, with none excluded, else
+    unresolved; what isn't part of a table is excluded with its page, else unresolved.
+    """
+    order = Window.partitionBy("doc_id").orderBy("ord", "observation_id")
+    has = F.length(F.trim("html")) > 0
+    o = observations.withColumn("_has", F.coalesce(has, F.lit(False))).withColumn("_none", F.col("html").isNull())
+    apart = F.col("_has") | F.col("_none") | F.coalesce(F.lag("_none").over(order), F.lit(True)) | (F.coalesce(F.col("page") - F.lag("page").over(order), F.lit(0)) != 1)
+    o = o.withColumn("_run", F.sum(apart.cast("int")).over(order))
+    # Blank ones without a table at the start of their run are runs of one.
+    run = Window.partitionBy("doc_id", "_run")
+    o = o.withColumn("_table", F.max("_has").over(run)).withColumn("_alone", F.when(F.col("_table"), F.lit(0)).otherwise(F.row_number().over(run.orderBy("ord", "observation_id"))))
+    inside = review.where("action = 'include'").select("doc_id", "page").distinct().withColumn("_in", F.lit(True))
+    o = o.join(inside, ["doc_id", "page"], "left")
+    own = captions.groupBy("doc_id", F.col("parent_id").alias("observation_id")).agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", "observation_id"))), lambda r: r["observation_id"]).alias("_captions"))
+    o = o.join(own, ["doc_id", "observation_id"], "left")
+    row = F.sort_array(F.collect_list(F.struct("ord", "observation_id", "page", F.coalesce("html", F.lit("")).alias("html"), F.coalesce("_captions", F.array().cast("array<string>")).alias("captions"))))
+    g = o.groupBy("doc_id", "_run", "_alone").agg(F.min("ord").alias("first_ord"), F.first("_table").alias("_table"), F.first("_none").alias("_none"), F.count(F.lit(1)).alias("_n"), F.count("_in").alias("_included"), row.alias("r"))
+    status = F.when(F.col("_included") == 0, "excluded").when(F.col("_table") & (F.col("_included") == F.col("_n")), "admitted").otherwise("unresolved")
+    why = F.when(status == "excluded", "excluded_by_page_review").when(F.col("_none"), "missing_normalized_table_content").when(~F.col("_table"), "continuation_without_primary").when(status == "unresolved", "page_review_splits_table_candidate")
+    g = g.withColumn("status", status).withColumn("reason", why)
+    number = F.row_number().over(Window.partitionBy("doc_id", "status").orderBy("first_ord"))
+    part = lambda c: F.transform("r", lambda x: x[c])
+    return g.select("doc_id", "first_ord", "status", "reason", F.when(F.col("status") == "admitted", F.format_string("tbl%06d", number)).alias("table_id"), F.array_distinct(part("page")).alias("pages"), part("observation_id").alias("observation_ids"), F.array_distinct(F.flatten(part("captions"))).alias("caption_ids"), F.col("r")[0]["html"].alias("html"))
