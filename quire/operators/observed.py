@@ -1,4 +1,4 @@
-"""Observations of a document and what is read off them (A13, A21, C15, J12 in part, O2, O4, P1, P2, P5, P12, S26, S27, U7, Z2-Z5, Z7).
+"""Observations of a document and what is read off them (A13, A21, C15, J12 in part, O2, O4, P1, P2, P5, P12, S26, S27, U7, Z3-Z5, Z7).
 
 Raw blocks: doc_id, page, index, raw_type, text, x0, y0, x1, y1. Null texts are empty,
 null boxes no boxes; rows of equal place are taken by id; empty tables give empty tables.
