@@ -11,7 +11,7 @@ from quire.functions import geometry
 from quire.functions import text as T
 from quire.operators import chunking, constraints, flow, graph, layout, notes, skeleton, tables, vectors
 from quire.plans import derived as D
-from quire.plans import book_queries, contract_queries, decision_queries, epub_queries, extraction_queries, flow_queries, functions_queries, observed_queries, page_queries, raw_queries  # noqa: F401  the former registers with the latter
+from quire.plans import book_queries, contract_queries, decision_queries, epub_queries, extraction_queries, flow_queries, functions_queries, observed_queries, page_queries, raw_queries, repair_queries  # noqa: F401  the former registers with the latter
 from quire.sources import html
 
 Query = Callable[[SparkSession, str], DataFrame]
