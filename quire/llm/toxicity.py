@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.spans import NOT_ALNUM, mix, runs, text_buffer, words
+from quire.llm.spans import NOT_ALNUM, runs, text_buffer, words
 
 BITS = 20
 TRAIN_ROWS, FACTORS, EPOCHS = 8000, 4, 30
@@ -109,44 +109,39 @@ def _train(lists: list[np.ndarray], y: np.ndarray, chosen: np.ndarray, factors:
     return model
 
 
-def _pair_keys(lists: list[np.ndarray], rows: np.ndarray, keep: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row, pair of terms as one number) of the rows with at most PAIR_TERMS kept terms, some millions at a time."""
-    keys: list[np.ndarray] = []
-    of: list[np.ndarray] = []
-    held = 0
-    for row in rows:
-        t = lists[row][keep[lists[row]]]
-        if not 2 <= len(t) <= PAIR_TERMS:
-            continue
-        i, j = np.triu_indices(len(t), 1)
-        keys.append(t[i] << BITS | t[j])
-        of.append(np.full(len(i), row))
-        held += len(i)
-        if held > 1 << 22:
-            yield np.concatenate(of), np.concatenate(keys)
-            keys, of, held = [], [], 0
-    if keys:
-        yield np.concatenate(of), np.concatenate(keys)
-
-
 def linked_pairs(lists: list[np.ndarray], error: np.ndarray, spread: np.ndarray, seen: np.ndarray, least: float = PAIR_Z) -> np.ndarray:
     """Terms of the pairs whose weight would have a gradient of ``least`` standard errors.
 
     ``error``: label less score of each text; ``spread``: its variance; ``seen``: texts of each term.
+    A pair's place in the table is one random number of its first term, exclusive or another of its second.
     """
-    keep, rows = seen >= PAIR_SEEN, np.arange(len(lists))
+    kept = [t[seen[t] >= PAIR_SEEN] for t in lists]
+    rows = [i for i, t in enumerate(kept) if 2 <= len(t) <= PAIR_TERMS]
+    rng = np.random.default_rng(1)
+    one, two = (rng.integers(0, 1 << PAIR_BITS, 1 << BITS, dtype=np.int32) for _ in range(2))
+    above = np.triu(np.ones((PAIR_TERMS, PAIR_TERMS), bool), 1)
+    places = lambda t: one[t][:, None] ^ two[t][None, :]
     total, var = np.zeros(1 << PAIR_BITS), np.zeros(1 << PAIR_BITS)
-    place = lambda key: (mix(key.astype(np.uint64)) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
-    for row, key in _pair_keys(lists, rows, keep):
-        at = place(key)
-        total += np.bincount(at, error[row], 1 << PAIR_BITS)
-        var += np.bincount(at, spread[row], 1 << PAIR_BITS)
-    # A bin's other pairs add their noise: bins are let in at half the bar, pairs in them counted exactly.
+    held: list[tuple[int, np.ndarray]] = []
+    for k, row in enumerate(rows):
+        t = kept[row]
+        held.append((row, places(t)[above[: len(t), : len(t)]]))
+        if sum(len(x) for _, x in held) > 1 << 23 or k == len(rows) - 1:
+            of, n, at = np.array([r for r, _ in held]), [len(x) for _, x in held], np.concatenate([x for _, x in held])
+            total += np.bincount(at, np.repeat(error[of], n), 1 << PAIR_BITS)
+            var += np.bincount(at, np.repeat(spread[of], n), 1 << PAIR_BITS)
+            held = []
+    # A place's other pairs add their noise: places are let in at half the bar, pairs in them counted exactly.
     open_ = np.abs(total) >= least / 2 * np.sqrt(np.maximum(var, 1e-9))
-    found = [(row[on], key[on]) for row, key in _pair_keys(lists, rows, keep) if (on := open_[place(key)]).any()]
-    if not found:
+    of_, keys = [], []
+    for row in rows:
+        t = kept[row]
+        i, j = np.nonzero(open_[places(t)] & above[: len(t), : len(t)])
+        of_.append(np.full(len(i), row))
+        keys.append(t[i] << BITS | t[j])
+    if not rows or not len(key := np.concatenate(keys)):
         return np.zeros(0, np.int64)
-    row, key = (np.concatenate(x) for x in zip(*found, strict=True))
+    row = np.concatenate(of_)
     pairs, back, n = np.unique(key, return_inverse=True, return_counts=True)
     z = np.bincount(back, error[row]) / np.sqrt(np.maximum(np.bincount(back, spread[row]), 1e-9))
     good = pairs[(np.abs(z) >= least) & (n >= PAIR_SEEN)]
