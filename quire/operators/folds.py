@@ -1,16 +1,62 @@
 """Passes over a document's rows in order, linear in them, where each row depends on all before.
 
-A document's rows are gathered as arrays of what the pass needs; results are arrays
-of the same length.
+Rows come sorted by document and are read as they stream in, so that a task holds
+one batch and one document, and a document costs no call of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import types as t
+from pyspark.sql.pandas.types import to_arrow_schema
+
+# Rows read and given out at a time.
+MOST_ROWS = 2048
+
+
+def _documents(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[list[list]]:
+    """Columns of each document of sorted batches, as lists; documents may lie across batches."""
+    key, held = None, []
+    for batch in batches:
+        for at in range(0, batch.num_rows, MOST_ROWS):
+            columns = [c.to_pylist() for c in batch.slice(at, MOST_ROWS).columns]
+            keys = list(zip(*columns[:n_keys], strict=True))
+            ends = [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]]
+            for first, end in zip([0, *ends], [*ends, len(keys)], strict=True):
+                part = [c[first:end] for c in columns]
+                if held and keys[first] == key:
+                    for column, more in zip(held, part, strict=True):
+                        column += more
+                    continue
+                if held:
+                    yield held
+                key, held = keys[first], part
+    if held:
+        yield held
+
+
+def by_document(rows: DataFrame, order: list[str | Column], run: Callable[..., tuple[list, ...]], schema: str, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``run`` of each document's columns, lists in order, gives the columns of its rows of ``schema``."""
+    arrow = to_arrow_schema(t.StructType.fromDDL(schema))
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: list[list] = [[] for _ in arrow]
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(made, arrow, strict=True)], schema=arrow)
+        for document in _documents(batches, len(keys)):
+            for column, more in zip(made, run(*document), strict=True):
+                column += more
+            if len(made[0]) >= MOST_ROWS:
+                yield batch()
+                made = [[] for _ in arrow]
+        if made[0]:
+            yield batch()
+
+    first = [k for k in rows.columns if k in keys]
+    rows = rows.select(*first, *[c for c in rows.columns if c not in keys])
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(stream, schema)
 
 
 def along(rows: DataFrame, order: str, inputs: list[str], run: Callable[..., list], kind: str, name: str, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -18,12 +64,10 @@ def along(rows: DataFrame, order: str, inputs: list[str], run: Callable[..., lis
 
     Rows with equal ``order`` are taken by their other columns. Null arrays don't occur; nulls in them are None.
     """
-    gathered = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(order, *[F.col(c).alias(f"c{i}") for i, c in enumerate(inputs)]))).alias("rows"))
+    slim = rows.select(*keys, rows[order].alias("_at"), *[rows[c].alias(f"_c{i}") for i, c in enumerate(inputs)])
+    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in (*keys, order)]
 
-    def every(*columns: pd.Series) -> pd.Series:
-        return pd.Series([run(*[[None if v is None or v != v else v for v in x] for x in row]) for row in zip(*columns, strict=True)], dtype=object)
+    def one(*columns: list) -> tuple[list, ...]:
+        return *columns[: len(keys) + 1], run(*[[None if v != v else v for v in c] for c in columns[len(keys) + 1 :]])
 
-    udf = F.pandas_udf(every, f"array<{kind}>")
-    of = lambda c: F.transform("rows", lambda r: r[c])
-    done = gathered.select(*keys, of(order).alias("at"), udf(*[of(f"c{i}") for i in range(len(inputs))]).alias("out"))
-    return done.select(*keys, F.explode(F.arrays_zip("at", "out")).alias("z")).select(*keys, F.col("z.at").alias(order), F.col("z.out").alias(name))
+    return by_document(slim, ["_at", *[f"_c{i}" for i in range(len(inputs))]], one, f"{', '.join(kinds)}, `{name}` {kind}", keys)

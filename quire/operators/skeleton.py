@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators.folds import along
+from quire.operators.folds import along, by_document
 
 # Costs of the start page assignment.
 SKIP_COST, MAX_OFFSET = 24.0, 128
@@ -84,16 +83,15 @@ def monotonic_starts(entries: DataFrame) -> DataFrame:
     printed offset within a role its absolute size. Every (page, offset, role)
     state is kept; equal costs go to the path whose first missing entry comes
     later, then to the smaller last page. Entries of a document depend on all
-    before, so a document's contents are one group; contents, not texts, are gathered.
+    before; documents stream by in order, and a task holds one document's contents at a time.
     """
 
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("entry_index")
+    def assign(doc_id: list, entry_index: list, offered: list, printed_page: list, roles: list) -> tuple[list, ...]:
         # (page, offset, role) -> (cost, bits of missing entries with the first on top, (earlier link, position, page))
         states: dict[tuple[int | None, int | None, object], tuple[float, int, tuple | None]] = {(None, None, None): (0.0, 0, None)}
-        for at, (candidates, printed, role) in enumerate(zip(pdf["candidates"], pdf["printed_page"], pdf["role"], strict=True)):
-            label = None if printed is None or pd.isna(printed) else int(printed)
-            offers = [(rank, int(p), None if label is None else int(p) - label) for rank, p in enumerate(candidates if candidates is not None else [])]
+        for at, (candidates, printed, role) in enumerate(zip(offered, printed_page, roles, strict=True)):
+            label = None if printed is None or printed != printed else int(printed)
+            offers = [(rank, int(p), None if label is None else int(p) - label) for rank, p in enumerate(candidates or [])]
             offers = [(rank, p, own) for rank, p, own in offers if own is None or abs(own) <= MAX_OFFSET]
             step: dict[tuple[int | None, int | None, object], tuple[float, int, tuple | None]] = {}
             for (page, offset, last_role), (cost, missing, link) in states.items():
@@ -111,16 +109,16 @@ def monotonic_starts(entries: DataFrame) -> DataFrame:
                     if kept is None or (total, bits) < kept[:2]:
                         step[key] = (total, bits, (link, at, p))
             states = step
-        best: list[int | None] = [None] * len(pdf)
+        best: list[int | None] = [None] * len(doc_id)
         link = min(states.items(), key=lambda s: (*s[1][:2], s[0][0] or 0))[1][2]
         while link is not None:
             link, at, page = link
             best[at] = page
-        return pd.DataFrame({"doc_id": pdf["doc_id"], "entry_index": pdf["entry_index"], "start_page": pd.array(best, "Int64")})
+        return doc_id, entry_index, best
 
     kind = entries.schema["doc_id"].dataType.simpleString()
     slim = entries.select("doc_id", "entry_index", "candidates", "printed_page", "role")
-    return slim.groupBy("doc_id").applyInPandas(assign, f"doc_id {kind}, entry_index long, start_page long")
+    return by_document(slim, [F.asc_nulls_last("entry_index")], assign, f"doc_id {kind}, entry_index long, start_page long")
 
 
 def boundaries(entries: DataFrame) -> DataFrame:
