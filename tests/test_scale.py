@@ -25,3 +25,10 @@ def test_documents_over_batches(spark):
     df = spark.createDataFrame(rows, "doc_id long, ord long").repartition(5)
     got = folds.along(df, "ord", ["ord"], lambda x: [len(x) * 10000 + v for v in x], "long", "seen").collect()
     assert {tuple(r) for r in got} == {(d, i, sizes[d] * 10000 + i) for d, i in rows} and len(got) == len(rows)
+
+
+def test_flow_streams(spark):
+    rows = [(d, i, "paragraph", "a" if i % 2 else "b. ", i) for d in range(50) for i in range(100)]
+    merged = flow.reconcile(spark.createDataFrame(rows, "doc_id long, ord long, unit_type string, text string, page long"))
+    assert "FlatMapGroups" not in plan(merged)
+    assert merged.groupBy("text").agg(F.count(F.lit(1)).alias("n")).orderBy("text").collect() == [("a", 50), ("ab. ", 50 * 49), ("b. ", 50)]
