@@ -7,23 +7,29 @@ documents, so everything partitions by doc_id.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from quire.functions import text as T
-from quire.operators.folds import along
+from quire.operators.folds import MOST_ROWS, along
 
 # The types whose text goes into text chunks.
 TEXT_TYPES = ("paragraph", "display_block", "list_item", "caption", "footnote")
 
 
+def _below(path: list[str], level: int | None, said: str) -> list[str]:
+    return [*path[: max((1 if level is None else int(level)) - 1, 0)], said]
+
+
 def _paths(level: list[int | None], text: list[str]) -> list[list[str]]:
     out: list[list[str]] = []
     path: list[str] = []
     for own, said in zip(level, text, strict=True):
-        path = [*path[: max((1 if own is None else int(own)) - 1, 0)], said]
+        path = _below(path, own, said)
         out.append(path)
     return out
 
@@ -38,30 +44,30 @@ def heading_paths(blocks: DataFrame) -> DataFrame:
     return along(heads, "ord", ["level", "text"], _paths, "array<string>", "path")
 
 
-@F.pandas_udf(t.ArrayType(t.ArrayType(t.StringType())))
-def _running_paths(is_heading: pd.Series, level: pd.Series, text: pd.Series) -> pd.Series:
-    """The path at each block of a document, that of the last heading so far."""
-
-    def one(heads, levels, texts):
-        paths = iter(_paths([v for h, v in zip(heads, levels, strict=True) if h], [t for h, t in zip(heads, texts, strict=True) if h]))
-        out, path = [], []
-        for h in heads:
-            path = next(paths) if h else path
-            out.append(path)
-        return out
-
-    levels = level.map(lambda x: [None if v is None or v != v else v for v in x])
-    return pd.Series([one(*row) for row in zip(is_heading, levels, text, strict=True)], dtype=object)
-
-
 def _with_paths(blocks: DataFrame) -> DataFrame:
-    """``blocks`` and ``_path``, the headings above each; every document is gathered once, as its chunks are anyway."""
-    row = F.struct("ord", *[c for c in blocks.columns if c not in ("doc_id", "ord")])
-    g = blocks.groupBy("doc_id").agg(F.sort_array(F.collect_list(row)).alias("rows"))
-    head = F.transform("rows", lambda r: F.coalesce(r["type"] == "heading", F.lit(False)))
-    texts = F.transform("rows", lambda r: F.when(r["type"] == "heading", r["text"]))
-    g = g.withColumn("paths", _running_paths(head, F.transform("rows", lambda r: r["level"]), texts))
-    return g.select("doc_id", F.explode(F.arrays_zip("rows", "paths")).alias("z")).select("doc_id", "z.rows.*", F.col("z.paths").alias("_path"))
+    """``blocks`` and ``_path``, the headings above each: one pass over sorted rows that holds a batch and a path."""
+    rest = [c for c in blocks.columns if c not in ("doc_id", "ord")]
+    names = ["doc_id", "ord", *rest]
+    b = blocks.select(*names)
+    kinds = t.StructType([*b.schema, t.StructField("_path", t.ArrayType(t.StringType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        document, path = object(), []
+        for batch in batches:
+            for at in range(0, batch.num_rows, MOST_ROWS):
+                part = batch.slice(at, MOST_ROWS)
+                columns = dict(zip(names, part.columns, strict=True))
+                heads = [k == "heading" for k in columns["type"].to_pylist()]
+                paths = []
+                for i, (key, head) in enumerate(zip(columns["doc_id"].to_pylist(), heads, strict=True)):
+                    if key != document:
+                        document, path = key, []
+                    if head:
+                        path = _below(path, columns["level"][i].as_py(), columns["text"][i].as_py())
+                    paths.append(path)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(paths, pa.list_(pa.string()))], [*names, "_path"])
+
+    return b.repartition("doc_id").sortWithinPartitions("doc_id", "ord", *rest).mapInArrow(run, kinds)
 
 
 def chunks(blocks: DataFrame, documents: DataFrame) -> DataFrame:

@@ -13,11 +13,14 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 _HEADINGS = {f"h{i}" for i in range(1, 7)}
+# Pages whose blocks are made at a time.
+MOST_PAGES = 64
 _HOLDERS = {"p", "li", "blockquote"} | _HEADINGS
 
 
@@ -91,25 +94,33 @@ def table_text(html: str | None) -> str:
     return "\n".join("\t".join(" ".join(c.split()) for c in row) for row in parser.rows if row)
 
 
-BLOCKS = t.ArrayType(t.StructType([t.StructField("type", t.StringType()), t.StructField("text", t.StringType())]))
-
-
-@F.pandas_udf(BLOCKS)
-def blocks_udf(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: [{"type": k, "text": s} for k, s in read_blocks(h)])
-
-
 @F.pandas_udf(t.StringType())
 def table_text_udf(html: pd.Series) -> pd.Series:
     return html.map(table_text)
 
 
 def html_blocks(pages: DataFrame, doc_id: str = "page_id", html: str = "html") -> DataFrame:
-    """doc_id, ord, block_id, type, text, level, page, bbox and note_marker of every page's blocks."""
-    b = pages.select(F.col(doc_id).alias("doc_id"), F.posexplode(blocks_udf(html)).alias("ord", "b"))
+    """doc_id, ord, block_id, type, text, level, page, bbox and note_marker of every page's blocks.
+
+    A task holds a batch of pages as they came and the blocks of ``MOST_PAGES`` of them.
+    """
+    rows = pages.select(F.col(doc_id).alias("doc_id"), F.col(html).alias("html"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, MOST_PAGES):
+                part = batch.slice(at, MOST_PAGES)
+                found = [(i, n, *block) for i, page in enumerate(part.column(1)) for n, block in enumerate(read_blocks(page.as_py()))]
+                if found:
+                    page, place, types, texts = zip(*found, strict=True)
+                    columns = [part.column(0).take(pa.array(page)), pa.array(place, pa.int32()), pa.array(types, pa.string()), pa.array(texts, pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ord", "type", "text"])
+
+    b = rows.mapInArrow(read, f"doc_id {kind}, ord int, type string, text string")
     return b.select(
-        "doc_id", F.col("ord").cast("long").alias("ord"), F.format_string("b%06d", F.col("ord") + 1).alias("block_id"), F.col("b.type").alias("type"), F.col("b.text").alias("text"),
-        F.when(F.col("b.type") == "heading", 1).alias("level"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("array<double>").alias("bbox"), F.lit(None).cast("string").alias("note_marker"),
+        "doc_id", F.col("ord").cast("long").alias("ord"), F.format_string("b%06d", F.col("ord") + 1).alias("block_id"), "type", "text",
+        F.when(F.col("type") == "heading", 1).alias("level"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("array<double>").alias("bbox"), F.lit(None).cast("string").alias("note_marker"),
     )
 
 

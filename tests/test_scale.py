@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators import flow, folds, skeleton
+from quire.operators import chunking, flow, folds, skeleton
+from quire.sources import html
 
 
 def plan(df):
@@ -32,3 +33,15 @@ def test_flow_streams(spark):
     merged = flow.reconcile(spark.createDataFrame(rows, "doc_id long, ord long, unit_type string, text string, page long"))
     assert "FlatMapGroups" not in plan(merged)
     assert merged.groupBy("text").agg(F.count(F.lit(1)).alias("n")).orderBy("text").collect() == [("a", 50), ("ab. ", 50 * 49), ("b. ", 50)]
+
+
+def test_pages_and_paths_stream(spark):
+    pages = spark.createDataFrame([(i, f"<h2>t{i}</h2><p>a</p><p>b{i}</p>" if i % 3 else None) for i in range(300)], "page_id long, html string")
+    blocks = html.html_blocks(pages)
+    assert "EvalPython" not in plan(blocks)  # whole batches of pages as nested lists
+    assert {(r["doc_id"], r["ord"], r["text"]) for r in blocks.collect()} == {(i, n, s) for i in range(300) if i % 3 for n, s in enumerate((f"t{i}", "a", f"b{i}"))}
+    docs = pages.select(F.col("page_id").alias("doc_id"), F.lit("x").alias("title"), F.lit("html").alias("parser_name"))
+    chunks = chunking.chunks(blocks, docs)
+    assert "EvalPython" not in plan(chunks)  # whole batches of documents with all their blocks
+    assert {(r["doc_id"], r["chapter_title"], r["text"]) for r in chunks.collect()} == {(i, f"t{i}", f"a\n\nb{i}") for i in range(300) if i % 3}
+    assert "EvalPython" not in plan(chunking.heading_paths(blocks))
