@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from quire.sources.folders import stored
 
-# Rows of a block, partitions of a query set.
-MOST_ROWS, QUERY_PARTS = 4096, 4
+# Rows of a block, blocks of a partition, queries scored at a time.
+MOST_ROWS, PART_BLOCKS, MOST_SCORED = 4096, 2, 128
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -42,7 +42,9 @@ def _blocks(rows: DataFrame, most: int) -> DataFrame:
                         row[: len(v)] = v
                 yield pa.RecordBatch.from_pylist([{"ids": part.column(0).to_pylist(), "lengths": lengths.tolist(), "data": data.tobytes()}], schema=pa.schema([("ids", pa.list_(part.schema.field(0).type)), ("lengths", pa.list_(pa.int64())), ("data", pa.binary())]))
 
-    return rows.mapInArrow(run, f"ids array<{kind}>, lengths array<long>, data binary")
+    # Pairs of blocks go to a task in one Arrow batch, so a partition has few blocks, however many rows there are.
+    parts = max(1, -(-rows.count() // (most * PART_BLOCKS)))
+    return rows.repartition(parts).mapInArrow(run, f"ids array<{kind}>, lengths array<long>, data binary")
 
 
 def _best(ids: np.ndarray, score: np.ndarray, valid: np.ndarray, k: int) -> np.ndarray:
@@ -62,11 +64,12 @@ def top_k_batch(vectors: DataFrame, queries: DataFrame, k: int, most_queries: in
     """The k best rows for each (query_id, query); a stated query set of any size against all rows.
 
     Blocks of at most ``most_queries`` queries meet blocks of rows, and only the k
-    best of each pair of blocks go on. Products are summed in the order of ``dot``.
+    best of each pair of blocks go on; a task has the pairs of a few blocks. Products are
+    summed in the order of ``dot``. Rows and queries are counted first.
     """
     q = queries.where(F.col("query").isNotNull()).select("query_id", "query")
     left = _blocks(vectors.select("vector_id", "embedding"), MOST_ROWS)
-    right = _blocks(q.coalesce(QUERY_PARTS), most_queries).select(*[F.col(c).alias(f"q_{c}") for c in ("ids", "lengths", "data")])
+    right = _blocks(q, most_queries).select(*[F.col(c).alias(f"q_{c}") for c in ("ids", "lengths", "data")])
     kinds = queries.schema["query_id"].dataType.simpleString(), vectors.schema["vector_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,15 +77,17 @@ def top_k_batch(vectors: DataFrame, queries: DataFrame, k: int, most_queries: in
             for pair in range(batch.num_rows):
                 ids, lengths, data, q_ids, q_lengths, q_data = (c[pair].values.to_numpy(zero_copy_only=False) if i % 3 < 2 else np.frombuffer(c[pair].as_py()) for i, c in enumerate(batch.columns))
                 data, q_data = data.reshape(len(ids), -1), q_data.reshape(len(q_ids), -1)
-                valid = (q_lengths[:, None] == lengths) & (lengths >= 0)
-                score = np.zeros(valid.shape)
-                for x, y in zip(q_data.T, data.T, strict=False):
-                    score += x[:, None] * y
-                a, b = np.nonzero(_best(ids, score, valid, k))
-                columns = [pa.array(q_ids[a]), pa.array(ids[b]), pa.array(score[a, b], mask=~valid[a, b])]
-                yield pa.RecordBatch.from_arrays(columns, ["query_id", "vector_id", "score"])
-
-    pairs = left.crossJoin(right).mapInArrow(run, f"query_id {kinds[0]}, vector_id {kinds[1]}, score double")
+                for at in range(0, len(q_ids), MOST_SCORED):
+                    part = slice(at, at + MOST_SCORED)
+                    valid = (q_lengths[part, None] == lengths) & (lengths >= 0)
+                    score = np.zeros(valid.shape)
+                    for x, y in zip(q_data[part].T, data.T, strict=False):
+                        score += x[:, None] * y
+                    a, b = np.nonzero(_best(ids, score, valid, k))
+                    columns = [pa.array(q_ids[part][a]), pa.array(ids[b]), pa.array(score[a, b], mask=~valid[a, b])]
+                    yield pa.RecordBatch.from_arrays(columns, ["query_id", "vector_id", "score"])
+
+    pairs = left.crossJoin(right.hint("shuffle_replicate_nl")).mapInArrow(run, f"query_id {kinds[0]}, vector_id {kinds[1]}, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vector_id"))
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
 

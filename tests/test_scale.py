@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators import chunking, flow, folds, skeleton
+from quire.operators import chunking, flow, folds, skeleton, vectors
 from quire.sources import html
 
 
@@ -45,3 +45,11 @@ def test_pages_and_paths_stream(spark):
     assert "EvalPython" not in plan(chunks)  # whole batches of documents with all their blocks
     assert {(r["doc_id"], r["chapter_title"], r["text"]) for r in chunks.collect()} == {(i, f"t{i}", f"a\n\nb{i}") for i in range(300) if i % 3}
     assert "EvalPython" not in plan(chunking.heading_paths(blocks))
+
+
+def test_few_blocks_a_partition(spark):
+    rows = spark.range(0, 60000, 1, 1).select(F.col("id").alias("vector_id"), F.array(F.lit(1.0), F.col("id").cast("double")).alias("embedding"))
+    blocks = vectors._blocks(rows, 4096)
+    assert blocks.select(F.spark_partition_id().alias("p")).groupBy("p").count().agg(F.max("count")).first()[0] <= 3  # else pairs of all of them are one batch
+    best = vectors.top_k_batch(rows, rows.where("vector_id % 20000 = 1").select(F.col("vector_id").alias("query_id"), F.col("embedding").alias("query")), 2)
+    assert {(r["query_id"], r["rank"], r["vector_id"]) for r in best.collect()} == {(q, n, 60000 - n) for q in (1, 20001, 40001) for n in (1, 2)}
