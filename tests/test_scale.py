@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators import chunking, flow, folds, skeleton, vectors
+from quire.operators import chunking, epub, flow, folds, skeleton, vectors
 from quire.sources import html
+from tests import test_epub
 
 
 def plan(df):
@@ -53,3 +54,10 @@ def test_few_blocks_a_partition(spark):
     assert blocks.select(F.spark_partition_id().alias("p")).groupBy("p").count().agg(F.max("count")).first()[0] <= 3  # else pairs of all of them are one batch
     best = vectors.top_k_batch(rows, rows.where("vector_id % 20000 = 1").select(F.col("vector_id").alias("query_id"), F.col("embedding").alias("query")), 2)
     assert {(r["query_id"], r["rank"], r["vector_id"]) for r in best.collect()} == {(q, n, 60000 - n) for q in (1, 20001, 40001) for n in (1, 2)}
+
+
+def test_markup_is_made_once(spark):
+    blocks, *rest = test_epub.book(spark)
+    r = epub.rendered(blocks, *rest).where("html IS NOT NULL").select("ord", F.col("html").startswith("<p>").alias("p"), F.col("html").rlike("^<ul").alias("u"))
+    assert plan(r).count("display-block-paragraph") <= 2 and "EvalPython" not in plan(r)  # a filter or a second reader would make it anew; no tables, no Python
+    assert {x["ord"] for x in r.where("p").collect()} >= {2, 14}
