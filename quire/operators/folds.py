@@ -13,8 +13,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as t
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# Rows read and given out at a time.
+# Rows read and given out at a time; bytes of input files behind a task of ``dealt``.
 MOST_ROWS = 2048
+TASK_BYTES = 16 << 20
+
+
+def tasks(*tables: DataFrame) -> int:
+    """How many tasks the bytes of the files behind ``tables`` ask for.
+
+    Every branch of a union counts its files; a file read twice within a branch counts once.
+    """
+    branches, size = [x._jdf.queryExecution().analyzed() for x in tables], 0
+    while branches:
+        branch = branches.pop()
+        if branch.nodeName() == "Union":
+            branches += [branch.children().apply(i) for i in range(branch.children().size())]
+            continue
+        leaves = branch.collectLeaves()
+        found = {int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())}
+        size += sum(x for x in found if x < 1 << 60)  # rows without files have no known size
+    return max(tables[0].sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+
+
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` dealt by ``keys`` into as many ``tasks`` as their files ask for.
+
+    Ids pack so well that a task of the usual size in bytes holds millions of rows, and more the larger the input; a
+    task of these holds the same however large it is.
+    """
+    return rows.repartition(tasks(rows), *keys)
+
+
+def joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Both sides dealt alike by the keys of their join, as ``dealt`` deals rows."""
+    n = tasks(left, right)
+    return left.repartition(n, *keys).join(right.repartition(n, *keys), keys, how)
 
 
 def _documents(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[list[list]]:

@@ -7,9 +7,14 @@ its texts that call themselves captions or titles. Null boxes make no pair.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators.folds import dealt
+
 MISSING_PAGE_ORDER, MISSING_TABLE_ORDER = 999_999, 1_000_000
 
 
@@ -108,21 +113,43 @@ def ordered_union(left: Column, right: Column) -> Column:
     return F.array_distinct(F.concat(F.coalesce(left, none), F.coalesce(right, none)))
 
 
+def _beside(refs: DataFrame, notes: DataFrame, on: list[str], keys: list[str]) -> DataFrame:
+    """References and notes in one table, dealt by ``on``: columns of ``refs``, _is_note and _id; notes have only ``keys``.
+
+    Windows over it count both sides in one sort, where aggregates and joins would deal and sort each side anew.
+    """
+    own = notes.select(*[F.col(c) if c in keys else F.lit(None).alias(c) for c in refs.columns], F.lit(True), F.col("note_id"))
+    return dealt(refs.select("*", F.lit(False).alias("_is_note"), F.lit(None).alias("_id")).union(own), *on)
+
+
+def _references(both: DataFrame, refs: DataFrame, *made: str) -> DataFrame:
+    kinds = {f.name: f.dataType for f in refs.schema}
+    return both.where("NOT _is_note").select(*[F.col(c).cast(kinds[c]).alias(c) for c in refs.columns], *made)
+
+
+def _known(keys: list[str]) -> Column:
+    return reduce(and_, [F.col(k).isNotNull() for k in keys])
+
+
 def _with_page_note(refs: DataFrame, notes: DataFrame) -> DataFrame:
-    one = lambda g: g.agg(F.min("note_id").alias("_lo"), F.count(F.lit(1)).alias("_n"))
-    exact = one(notes.where("marker <> ''").groupBy("doc_id", "page", "marker"))
-    bare = one(notes.where("marker = ''").groupBy("doc_id", "page")).select("doc_id", "page", F.col("_lo").alias("_bare"), F.col("_n").alias("_n_bare"))
-    r = refs.withColumn("_refs", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "page", "marker")))
-    r = r.join(exact, ["doc_id", "page", "marker"], "left").join(bare, ["doc_id", "page"], "left")
-    note = F.when(F.col("_n") == 1, F.col("_lo")).when((F.col("_n_bare") == 1) & (F.col("_refs") == 1), F.col("_bare"))
-    return r.withColumn("_page_note", note).withColumn("_confidence", F.when(F.col("_n") == 1, "high").when(note.isNotNull(), "medium"))
+    page = ["doc_id", "page"]
+    own, on_page = Window.partitionBy(*page, "marker"), Window.partitionBy(*page)
+    marked, bare = F.col("_is_note") & (F.col("marker") != ""), F.col("_is_note") & (F.col("marker") == "")
+    r = _beside(refs, notes, page, [*page, "marker"])
+    r = r.withColumns({"_lo": F.min(F.when(marked, F.col("_id"))).over(own), "_n": F.count_if(marked).over(own), "_refs": F.count_if(~F.col("_is_note")).over(own)})
+    r = r.withColumns({"_bare": F.min(F.when(bare, F.col("_id"))).over(on_page), "_n_bare": F.count_if(bare).over(on_page)})
+    exact = _known([*page, "marker"]) & (F.col("_n") == 1)
+    note = F.when(exact, F.col("_lo")).when(_known(page) & (F.col("_n_bare") == 1) & (F.col("_refs") == 1), F.col("_bare"))
+    r = r.withColumn("_page_note", note).withColumn("_confidence", F.when(exact, "high").when(note.isNotNull(), "medium"))
+    return _references(r, refs, "_page_note", "_confidence")
 
 
 def _with_end_note(refs: DataFrame, notes: DataFrame, scoped: bool, name: str) -> DataFrame:
     keys = ["doc_id", "scope_key", "marker"] if scoped else ["doc_id", "marker"]
-    n = notes.where("scope_key <> ''") if scoped else notes
-    only = n.groupBy(*keys).agg(F.min("note_id").alias(name), F.count(F.lit(1)).alias("_k")).where("_k = 1").drop("_k")
-    return refs.join(only, keys, "left")
+    own = Window.partitionBy(*keys)
+    r = _beside(refs, notes.where("scope_key <> ''") if scoped else notes, keys, keys)
+    r = r.withColumns({"_only": F.min("_id").over(own), "_k": F.count_if(F.col("_is_note")).over(own)})
+    return _references(r.withColumn(name, F.when(_known(keys) & (F.col("_k") == 1), F.col("_only"))), refs, name)
 
 
 def resolve_page_footnotes(refs: DataFrame, notes: DataFrame) -> DataFrame:

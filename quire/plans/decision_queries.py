@@ -62,15 +62,14 @@ def strategy_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["doc_id", "ref_id", "page", "marker", "scope_key"]
 
     def by_page(r: DataFrame) -> DataFrame:
-        return V._with_page_note(r, page).select(*keys, F.col("_page_note").alias("note_id")).distinct()
+        return V._with_page_note(r, page).select(*keys, F.col("_page_note").alias("note_id"))
 
     def by_end(scoped: bool):
-        return lambda r: V._with_end_note(r, end, scoped, "note_id").select(*keys, "note_id").distinct()
+        return lambda r: V._with_end_note(r, end, scoped, "note_id").select(*keys, "note_id")
 
     def link(r: DataFrame) -> DataFrame:
         # Strategies see all references; repeated ones are one row of the result.
-        found = workflow.first_of(r.select(*keys).distinct(), [("page", lambda _: by_page(r)), ("chapter", by_end(True)), ("book", by_end(False))], keys)
-        return found
+        return workflow.first_of(r, [("page", by_page), ("chapter", by_end(True)), ("book", by_end(False))], keys)
 
     stage = workflow.Stage("link", ("refs",), "links", lambda refs: link(refs))
     return workflow.run({"refs": refs}, [stage], workflow.ParquetStore(spark, folders.work_folder(spark, "stages")))["links"]

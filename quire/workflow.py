@@ -153,11 +153,23 @@ Strategy = tuple[str, Callable[[DataFrame], DataFrame]]
 
 
 def first_of(refs: DataFrame, strategies: list[Strategy], keys: list[str]) -> DataFrame:
-    """keys, note_id and strategy: each reference by the first strategy that finds it a note (X-8). Keys are unique."""
+    """keys, note_id and strategy: each reference by the first strategy that finds it a note (X-8).
+
+    What repeats is one row; of several notes of one strategy the smallest counts. All that was found is sorted by the
+    keys once, so that a strategy costs no join.
+    """
+    from pyspark.sql import Window
     from pyspark.sql import functions as F
 
-    out = refs.select(*keys)
+    from quire.operators.folds import dealt
+
+    rows = refs.select(*keys, F.lit(-1).alias("_by"), F.lit(None).alias("note_id"))
     for i, (_, find) in enumerate(strategies):
-        out = out.join(find(refs).select(*keys, F.col("note_id").alias(f"_{i}")), keys, "left")
-    name = F.coalesce(*[F.when(F.col(f"_{i}").isNotNull(), n) for i, (n, _) in enumerate(strategies)])
-    return out.select(*keys, F.coalesce(*[F.col(f"_{i}") for i in range(len(strategies))]).alias("note_id"), name.alias("strategy"))
+        rows = rows.union(find(refs).where("note_id IS NOT NULL").select(*keys, F.lit(i), "note_id"))
+    w = Window.partitionBy(*keys).orderBy("_by", "note_id")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    found = lambda c: F.first(F.when(F.col("_by") >= 0, F.col(c)), ignorenulls=True).over(whole)
+    out = dealt(rows, *keys).withColumns({"_at": F.row_number().over(w), "_note": found("note_id"), "_which": found("_by")})
+    out = out.where("_by = -1 AND _at = 1")  # a key that only a strategy has is no reference
+    name = F.coalesce(*[F.when(F.col("_which") == i, n) for i, (n, _) in enumerate(strategies)])
+    return out.select(*keys, F.col("_note").alias("note_id"), name.alias("strategy"))

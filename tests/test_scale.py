@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.operators import chunking, epub, flow, folds, skeleton, vectors
+from quire import workflow
+from quire.operators import chunking, epub, flow, folds, skeleton, vectors, visuals
 from quire.sources import html
 from tests import test_epub
 
@@ -61,3 +62,14 @@ def test_markup_is_made_once(spark):
     r = epub.rendered(blocks, *rest).where("html IS NOT NULL").select("ord", F.col("html").startswith("<p>").alias("p"), F.col("html").rlike("^<ul").alias("u"))
     assert plan(r).count("display-block-paragraph") <= 2 and "EvalPython" not in plan(r)  # a filter or a second reader would make it anew; no tables, no Python
     assert {x["ord"] for x in r.where("p").collect()} >= {2, 14}
+
+
+def test_strategies_are_one_pass(spark):
+    refs = spark.createDataFrame([(1, 1, 1, "a", "c"), (1, 1, 1, "a", "c"), (1, 2, 1, "b", None), (1, 3, 2, "c", "c"), (None, 4, 1, "a", "c"), (1, 5, 3, "z", "c")], "doc_id long, ref_id long, page int, marker string, scope_key string")
+    foot = spark.createDataFrame([(1, 10, 1, "a"), (1, 11, 2, ""), (1, 12, 3, "y"), (None, 13, 1, "a")], "doc_id long, note_id long, page long, marker string")
+    end = spark.createDataFrame([(1, 20, "b", "c"), (1, 21, "c", "c"), (1, 22, "c", "c"), (1, 23, "z", "")], "doc_id long, note_id long, marker string, scope_key string")
+    chain = [("page", lambda r: visuals._with_page_note(r, foot).select(*refs.columns, F.col("_page_note").alias("note_id"))), ("chapter", lambda r: visuals._with_end_note(r, end, True, "note_id")), ("book", lambda r: visuals._with_end_note(r, end, False, "note_id"))]
+    found = workflow.first_of(refs, chain, refs.columns)
+    assert "Join" not in plan(found)  # a join and an aggregate for each strategy
+    assert found.schema["page"].dataType == refs.schema["page"].dataType
+    assert {tuple(r)[1:2] + tuple(r)[5:] for r in found.collect()} == {(1, 10, "page"), (2, 20, "book"), (3, 11, "page"), (4, None, None), (5, 23, "book")} and found.count() == 5
