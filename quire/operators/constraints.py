@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from quire.operators.folds import dealt
+
 # Domains of the document model.
 BLOCK_TYPES = ("heading", "paragraph", "toc_item", "display_block", "list_item", "table", "table_continuation", "figure", "caption", "footnote")
 OBSERVATION_KINDS = ("text_region", "image_region", "table_region", "page_marker", "footnote_region")
@@ -27,15 +29,29 @@ def domain(rows: DataFrame, field: str, values: tuple[str, ...], detail: Column)
     return where(rows, f"domain:{field}", ~F.coalesce(F.col(field).isin(*values), F.lit(False)), detail)
 
 
+def _in_order(rows: DataFrame, keys: list[str], *order: str) -> tuple[DataFrame, WindowSpec]:
+    """``rows`` dealt and sorted by ``keys``, and the window over rows of one key, nulls being equal.
+
+    One sort of slim rows in tasks of bounded size is all that a constraint holds: no join and no table of keys.
+    """
+    return dealt(rows, *keys), Window.partitionBy(*keys).orderBy(*order)
+
+
 def unique(rows: DataFrame, key: str) -> DataFrame:
-    counted = rows.groupBy("doc_id", key).agg(F.count(F.lit(1)).alias("_n"))
-    return where(counted, f"unique:{key}", F.col("_n") > 1, F.col(key))
+    r, w = _in_order(rows.select("doc_id", key), ["doc_id", key], key)
+    return where(r.withColumn("_n", F.row_number().over(w)), f"unique:{key}", F.col("_n") == 2, F.col(key))
+
+
+def lost(rows: DataFrame, parents: DataFrame, field: str, rule: str) -> DataFrame:
+    """``rows`` whose ``field`` no row of ``parents`` has in the document; null keys find none."""
+    both = rows.select("doc_id", field, F.lit(False).alias("_parent")).union(parents.select("doc_id", field, F.lit(True)))
+    r, w = _in_order(both, ["doc_id", field], F.desc("_parent"))
+    found = F.coalesce(F.first("_parent").over(w) & F.col("doc_id").isNotNull() & F.col(field).isNotNull(), F.lit(False))
+    return where(r.withColumn("_found", found), rule, ~F.col("_parent") & ~F.col("_found"), F.col(field))
 
 
 def references(rows: DataFrame, field: str, parents: DataFrame, key: str) -> DataFrame:
-    p = parents.select("doc_id", F.col(key).alias(field)).distinct()
-    lost = rows.where(F.col(field).isNotNull()).join(p, ["doc_id", field], "left_anti")
-    return where(lost, f"reference:{field}", F.lit(True), F.col(field))
+    return lost(rows.where(F.col(field).isNotNull()), parents.select("doc_id", F.col(key).alias(field)), field, f"reference:{field}")
 
 
 def increasing(rows: DataFrame, field: str, order: str) -> DataFrame:

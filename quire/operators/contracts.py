@@ -12,17 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.constraints import every, increasing, references, required, same_set, unique, where
+from quire.operators.constraints import every, increasing, lost, references, required, same_set, unique, where
+from quire.operators.folds import joined
 
 # Domains of the contracts.
 REVIEW_ACTIONS = ("include", "metadata_only", "exclude")
 OUTCOMES = ("found", "absent", "not_run", "failed", "unresolved")
 
 
-def _lost(rows: DataFrame, parents: DataFrame, keys: list[str], rule: str, detail: Column) -> DataFrame:
-    return where(rows.join(parents.select("doc_id", *keys).distinct(), ["doc_id", *keys], "left_anti"), rule, F.lit(True), detail)
-
-
 def internal_records(records: DataFrame) -> DataFrame:
     """Every record is a public part and a debug part of one id (Q4)."""
     at = F.col("record_id")
@@ -31,7 +28,7 @@ def internal_records(records: DataFrame) -> DataFrame:
 
 def page_layout(analysed: DataFrame, pages: DataFrame) -> DataFrame:
     """Pages unique, in order, all there, fields given (Q5). analysed: doc_id, ord, page, width, height."""
-    return every([required(analysed, ["width", "height"], F.col("page")), unique(analysed, "page"), increasing(analysed, "page", "ord"), _lost(pages, analysed, ["page"], "uncovered:page", F.col("page")), _lost(analysed, pages, ["page"], "reference:page", F.col("page"))])
+    return every([required(analysed, ["width", "height"], F.col("page")), unique(analysed, "page"), increasing(analysed, "page", "ord"), lost(pages, analysed, "page", "uncovered:page"), lost(analysed, pages, "page", "reference:page")])
 
 
 def skeleton(entries: DataFrame, evidence: DataFrame, observations: DataFrame, toc_pages: DataFrame) -> DataFrame:
@@ -47,7 +44,7 @@ def skeleton(entries: DataFrame, evidence: DataFrame, observations: DataFrame, t
     seen = e.join(o, ["doc_id", "observation_id"]).join(toc_pages.select("doc_id", "page").distinct().withColumn("_toc", F.lit(True)), ["doc_id", "page"], "left")
     off = (F.col("kind") == "toc") & (F.col("_toc").isNull() | ~F.coalesce(F.col("role_hint") == "toc_text", F.lit(False)))
     return every([
-        _lost(e, o, ["observation_id"], "reference:observation_id", F.col("observation_id")), where(seen, "title_page", (F.col("kind") == "title") & (F.col("page") != F.col("anchor_page")), F.col("observation_id")),
+        lost(e, o, "observation_id", "reference:observation_id"), where(seen, "title_page", (F.col("kind") == "title") & (F.col("page") != F.col("anchor_page")), F.col("observation_id")),
         where(seen, "toc_page", off, F.col("observation_id")), where(back, "role_order", F.col("_rank") < F.col("_most"), F.col("entry_index")),
     ])
 
@@ -59,10 +56,10 @@ def resolved_review(review: DataFrame, candidates: DataFrame, primaries: DataFra
     """
     decided = candidates.select("doc_id", "page").join(review, ["doc_id", "page"])
     return every([
-        unique(candidates, "page"), _lost(candidates, review, ["page"], "uncovered:page", F.col("page")),
+        unique(candidates, "page"), lost(candidates, review, "page", "uncovered:page"),
         where(decided, "undecided", ~F.coalesce((F.col("source") == "llm_page_review") & (F.col("status") == "sent_and_resolved"), F.lit(False)), F.col("page")),
         where(decided, "open_action", ~F.coalesce(F.col("action").isin(*REVIEW_ACTIONS), F.lit(False)), F.col("page")),
-        _lost(primaries.select("doc_id", F.col("primary_page").alias("page")), review, ["page"], "reference:primary_page", F.col("page")),
+        lost(primaries.select("doc_id", F.col("primary_page").alias("page")), review, "page", "reference:primary_page"),
     ])
 
 
@@ -109,7 +106,7 @@ def visual_relations(endpoints: DataFrame, groups: DataFrame, observations: Data
     own = e.where("side = 'caption'").join(table_captions.select("doc_id", "observation_id").distinct(), ["doc_id", "observation_id"], "left_semi")
     found = e.where("page IS NOT NULL").groupBy("doc_id", "group_id").agg(F.array_sort(F.collect_set("page")).alias("_pages"))
     g = groups.join(found, ["doc_id", "group_id"], "left")
-    return every([where(e, "endpoint", ~F.coalesce(kind, F.lit(False)), at), _lost(images, reviewed, ["page"], "unreviewed", at), where(own, "table_caption", F.lit(True), at), where(g, "group_pages", ~F.array_sort(F.array_distinct("pages")).eqNullSafe(F.col("_pages")), F.col("group_id"))])
+    return every([where(e, "endpoint", ~F.coalesce(kind, F.lit(False)), at), where(joined(images, reviewed.select("doc_id", "page"), ["doc_id", "page"], "left_anti"), "unreviewed", F.lit(True), at), where(own, "table_caption", F.lit(True), at), where(g, "group_pages", ~F.array_sort(F.array_distinct("pages")).eqNullSafe(F.col("_pages")), F.col("group_id"))])
 
 
 def note_systems(systems: DataFrame, ranges: DataFrame, pages: DataFrame, evidence: DataFrame) -> DataFrame:
@@ -120,7 +117,7 @@ def note_systems(systems: DataFrame, ranges: DataFrame, pages: DataFrame, eviden
     w = Window.partitionBy("doc_id", "system_id").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
     r = ranges.withColumn("_until", F.max("last").over(w))
     ends = ranges.select("doc_id", F.explode(F.array_distinct(F.array("first", "last"))).alias("page"))
-    return every([unique(systems, "system_id"), references(ranges, "system_id", systems, "system_id"), where(ranges, "range", F.col("first") > F.col("last"), F.col("system_id")), where(r, "overlap", F.col("first") <= F.col("_until"), F.col("system_id")), references(ends.distinct(), "page", pages, "page"), _lost(systems, evidence, ["system_id"], "evidence", F.col("system_id"))])
+    return every([unique(systems, "system_id"), references(ranges, "system_id", systems, "system_id"), where(ranges, "range", F.col("first") > F.col("last"), F.col("system_id")), where(r, "overlap", F.col("first") <= F.col("_until"), F.col("system_id")), references(ends.distinct(), "page", pages, "page"), lost(systems, evidence, "system_id", "evidence")])
 
 
 def marker_plan(definitions: DataFrame, requests: DataFrame, skipped: DataFrame, systems: DataFrame) -> DataFrame:
@@ -150,7 +147,7 @@ def section_map(sections: DataFrame, evidence: DataFrame, pages: DataFrame) -> D
     child = sections.join(p, ["doc_id", "parent_id"])
     ends = sections.select("doc_id", F.explode(F.array_distinct(F.array("first", "last"))).alias("page")).distinct()
     around = (F.col("_first") <= F.col("first")) & (F.col("last") <= F.col("_last")) & (F.col("_ord") < F.col("ord"))
-    return every([unique(sections, "section_id"), where(sections, "range", F.col("first") > F.col("last"), F.col("section_id")), references(sections, "parent_id", sections, "section_id"), where(child, "nesting", ~around, F.col("section_id")), references(ends, "page", pages, "page"), _lost(sections, evidence, ["section_id"], "evidence", F.col("section_id"))])
+    return every([unique(sections, "section_id"), where(sections, "range", F.col("first") > F.col("last"), F.col("section_id")), references(sections, "parent_id", sections, "section_id"), where(child, "nesting", ~around, F.col("section_id")), references(ends, "page", pages, "page"), lost(sections, evidence, "section_id", "evidence")])
 
 
 def section_links(members: DataFrame, units: DataFrame, sections: DataFrame) -> DataFrame:

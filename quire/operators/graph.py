@@ -8,11 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators.folds import dealt
+
 
 def records(units: DataFrame) -> dict[str, DataFrame]:
     """Nodes, evidence, page edges and reading order of units, ids dense in order."""
     n = F.row_number().over(Window.partitionBy("doc_id").orderBy("ord"))
-    u = units.withColumn("_n", n).withColumn("node_id", F.format_string("n%06d", "_n")).withColumn("evidence_id", F.format_string("ev%06d", "_n"))
+    u = dealt(units, "doc_id").withColumn("_n", n).withColumn("node_id", F.format_string("n%06d", "_n")).withColumn("evidence_id", F.format_string("ev%06d", "_n"))
     return {
         "nodes": u.select("doc_id", "node_id", F.col("unit_type").alias("node_type"), "text", F.array("evidence_id").alias("evidence_ids")),
         "evidence": u.select("doc_id", "evidence_id", F.col("unit_id").alias("source_id"), "page", F.array("page").alias("pages"), "bbox"),

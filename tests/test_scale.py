@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire import workflow
-from quire.operators import chunking, epub, flow, folds, skeleton, vectors, visuals
+from quire.operators import chunking, constraints, epub, flow, folds, graph, skeleton, vectors, visuals
 from quire.sources import html
 from tests import test_epub
 
@@ -73,3 +73,20 @@ def test_strategies_are_one_pass(spark):
     assert "Join" not in plan(found)  # a join and an aggregate for each strategy
     assert found.schema["page"].dataType == refs.schema["page"].dataType
     assert {tuple(r)[1:2] + tuple(r)[5:] for r in found.collect()} == {(1, 10, "page"), (2, 20, "book"), (3, 11, "page"), (4, None, None), (5, 23, "book")} and found.count() == 5
+
+
+def many(spark, n, *columns):
+    path = f"{spark.sparkContext.getConf().get('spark.checkpoint.dir')}/many-{n}-{len(columns)}"
+    spark.range(n).selectExpr("id div 10 AS doc_id", *columns).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_tasks_grow_with_the_files(spark, monkeypatch):
+    rows = many(spark, 20_000, "concat('x', id) AS key", "id % 7 AS n")
+    monkeypatch.setattr(folds, "TASK_BYTES", 20_000)
+    few = folds.tasks(rows.limit(1))
+    assert few > 4 and folds.tasks(rows, rows) >= 2 * few - 1 and folds.tasks(rows.union(rows)) >= 2 * few - 1 and folds.tasks(spark.range(5)) >= 1
+    book = graph.records(rows.selectExpr("doc_id", "n AS ord", "key AS unit_id", "'p' AS unit_type", "key AS text", "1 AS page", "array(1D) AS bbox"))
+    for made in (constraints.unique(rows, "key"), constraints.references(rows, "key", rows, "key"), constraints.graph(book["nodes"], book["edges"], book["evidence"])):
+        assert "Join" not in plan(made) and made.rdd.getNumPartitions() >= few  # else as many tasks as the session has, however large the input
+        assert made.count() == 0
