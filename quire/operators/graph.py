@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.folds import dealt
+from quire.sources import folders
 
 
 def records(units: DataFrame) -> dict[str, DataFrame]:
@@ -74,21 +75,22 @@ def book(units: DataFrame, roles: DataFrame, review: DataFrame, references: Data
 
     out = units.select("doc_id", "unit_id", F.explode("pages").alias("page")).join(review.where("action = 'include'").select("doc_id", "page").distinct(), ["doc_id", "page"], "left_anti")
     kept = units.join(out.select("doc_id", "unit_id").distinct(), ["doc_id", "unit_id"], "left_anti").join(roles.select("doc_id", "page", "page_role"), ["doc_id", "page"], "left")
-    u = kept.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy("ord"))).withColumn("node_id", F.format_string("n%06d", "_n")).withColumn("evidence_id", F.format_string("ev%06d", "_n"))
-    plain = S.normalised_notes(u.withColumn("node_type", F.col("unit_type"))).select("doc_id", "node_id", "node_type", "text", F.col("note_marker").alias("_foot_marker"), F.col("placement").alias("_foot_placement"))
-    n = u.select("doc_id", "node_id", "ord", "page", "unit_id", "evidence_id", "page_role", "marker").join(plain, ["doc_id", "node_id"]).withColumn("marker", F.coalesce("_foot_marker", "marker"))
+    u = dealt(kept, "doc_id").withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy("ord"))).withColumn("node_id", F.format_string("n%06d", "_n")).withColumn("evidence_id", F.format_string("ev%06d", "_n"))
+    foot = S.normalised()
+    n = u.withColumn("node_type", F.col("unit_type")).select("doc_id", "node_id", "ord", "page", "unit_id", "evidence_id", "page_role", foot["node_type"].alias("node_type"), foot["text"].alias("text"), F.coalesce(foot["note_marker"], "marker").alias("marker"), foot["note_marker"].alias("_foot_marker"), foot["placement"].alias("_foot_placement"))
     n = S.note_sections(n)
     placed = F.when(F.col("is_entry"), F.col("placement")).otherwise(F.col("_foot_placement"))
     nodes = n.select("doc_id", "node_id", "ord", "page", "unit_id", "evidence_id", "page_role", "node_type", "text", F.when(F.col("node_type") == "note", F.coalesce("note_marker", "_foot_marker")).alias("note_marker"), placed.alias("placement"),
                      F.coalesce("scope", F.when(F.col("_foot_placement") == "page_foot", "page").when(F.col("_foot_placement").isNotNull(), "unknown")).alias("scope"), F.when(F.col("is_entry"), F.col("scope_key")).alias("note_scope_key"), "section_no")
     heading = F.when((F.col("node_type") == "heading") & F.col("section_no").isNull(), S.scope_key(F.col("text")))
-    scoped = nodes.withColumn("scope_key", F.last(heading, ignorenulls=True).over(Window.partitionBy("doc_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)))
-    r = references.join(scoped.where("node_type <> 'note'").select("doc_id", "unit_id", "node_id", "page", "scope_key"), ["doc_id", "unit_id"])
+    # References, notes and edges are read off the nodes: these are made and written once.
+    scoped = folders.stored(nodes.withColumn("_scope", F.last(heading, ignorenulls=True).over(Window.partitionBy("doc_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0))), "nodes")
+    nodes = scoped.drop("_scope")
+    r = references.select("doc_id", "unit_id", "ref_id", "marker").join(scoped.where("node_type <> 'note'").select("doc_id", "unit_id", "node_id", "page", F.col("_scope").alias("scope_key")), ["doc_id", "unit_id"])
     notes = nodes.where("node_type = 'note' AND coalesce(note_marker, '') <> ''").select("doc_id", F.col("node_id").alias("note_id"), "page", F.col("note_marker").alias("marker"), "scope", F.coalesce("note_scope_key", F.lit("")).alias("scope_key"), "placement")
-    by_page = N.resolve_on_page(r, notes.where("placement = 'page_foot'")).select("doc_id", "ref_id", F.col("note_id").alias("_page_note"))
-    by_scope = N.resolve_scoped(r, notes.where("placement <> 'page_foot'")).select("doc_id", "ref_id", F.col("note_id").alias("_scope_note"))
-    refs = r.select("doc_id", "ref_id", "node_id", "marker").join(by_page, ["doc_id", "ref_id"]).join(by_scope, ["doc_id", "ref_id"])
-    refs = refs.select("doc_id", "ref_id", "node_id", "marker", F.coalesce("_page_note", "_scope_note").alias("note_id"), F.when(F.col("_page_note").isNotNull(), "page_foot").when(F.col("_scope_note").isNotNull(), "note_section").alias("placement"))
+    found = N.with_scoped_notes(N.with_page_notes(r, notes.where("placement = 'page_foot'")), notes.where("placement <> 'page_foot'"))
+    page_note, scope_note = F.when(F.col("_note") == F.col("_last"), F.col("_note")), F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))
+    refs = found.select("doc_id", "ref_id", "node_id", "marker", F.coalesce(page_note, scope_note).alias("note_id"), F.when(page_note.isNotNull(), "page_foot").when(scope_note.isNotNull(), "note_section").alias("placement"))
     pages = nodes.select("doc_id", F.lit("appears_on_page").alias("edge_type"), F.col("node_id").alias("source"), F.format_string("page:%d", F.col("page").cast("int")).alias("target"))
     links = refs.where("note_id IS NOT NULL").select("doc_id", F.lit("references_note").alias("edge_type"), F.col("node_id").alias("source"), F.col("note_id").alias("target")).distinct()
     return {"nodes": nodes, "edges": pages.union(links), "evidence": u.select("doc_id", "evidence_id", F.col("unit_id").alias("source_id"), "page", "pages", "bbox"), "reading_order": nodes.select("doc_id", "ord", "node_id"), "references": refs}

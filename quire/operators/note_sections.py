@@ -79,15 +79,20 @@ def page_foot_references(nodes: DataFrame, pages: DataFrame, most: int = 10, lea
     return r.where((F.col("_n") <= most) & (F.col("node_type") != "note") & (F.col("note_marker") != "") & (F.col("height") > 0) & (F.col("y0") / F.col("height") >= least_top)).select("doc_id", "node_id", "note_marker")
 
 
-def normalised_notes(nodes: DataFrame) -> DataFrame:
-    """Footnotes as notes: their marker, text without it, and placement by the page's role."""
+def normalised() -> dict[str, Column]:
+    """Footnotes as notes: their marker, text without it, and placement by the page's role (R23), columns of nodes with page_role."""
     is_note = F.col("node_type") == "footnote"
     marker = leading_marker(F.col("text"), F.col("marker"))
     apart = F.coalesce(F.col("page_role") == "note_section_candidate", F.lit(False))
-    return nodes.select(
-        "doc_id", "node_id", F.when(is_note, "note").otherwise(F.col("node_type")).alias("node_type"), F.when(is_note, T.strip_note_marker(F.col("text"), marker)).otherwise(F.col("text")).alias("text"), F.when(is_note, marker).alias("note_marker"),
-        F.when(is_note, F.when(apart, "note_section_candidate").otherwise("page_foot")).alias("placement"), F.when(is_note, F.when(apart, "unknown").otherwise("page")).alias("scope"),
-    )
+    return {
+        "node_type": F.when(is_note, "note").otherwise(F.col("node_type")), "text": F.when(is_note, T.strip_note_marker(F.col("text"), marker)).otherwise(F.col("text")), "note_marker": F.when(is_note, marker),
+        "placement": F.when(is_note, F.when(apart, "note_section_candidate").otherwise("page_foot")), "scope": F.when(is_note, F.when(apart, "unknown").otherwise("page")),
+    }
+
+
+def normalised_notes(nodes: DataFrame) -> DataFrame:
+    """``normalised`` as a table."""
+    return nodes.select("doc_id", "node_id", *[c.alias(name) for name, c in normalised().items()])
 
 
 def display_audit(nodes: DataFrame) -> DataFrame:

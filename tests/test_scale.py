@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire import workflow
-from quire.operators import chunking, constraints, epub, flow, folds, graph, skeleton, vectors, visuals
+from quire.operators import chunking, constraints, epub, flow, folds, graph, notes, skeleton, vectors, visuals
 from quire.sources import html
 from tests import test_epub
 
@@ -90,3 +90,16 @@ def test_tasks_grow_with_the_files(spark, monkeypatch):
     for made in (constraints.unique(rows, "key"), constraints.references(rows, "key", rows, "key"), constraints.graph(book["nodes"], book["edges"], book["evidence"])):
         assert "Join" not in plan(made) and made.rdd.getNumPartitions() >= few  # else as many tasks as the session has, however large the input
         assert made.count() == 0
+
+
+def test_book_is_made_once(spark):
+    units = spark.createDataFrame([(1, 1, "u1", "paragraph", "said", 1, [1], None, None), (1, 2, "u2", "footnote", "1. foot", 1, [1], None, None), (1, 3, "u3", "heading", "Notes", 2, [2], None, None), (1, 4, "u4", "paragraph", "2. end", 2, [2], None, None)], "doc_id long, ord long, unit_id string, unit_type string, text string, page long, pages array<long>, bbox array<double>, marker string")
+    roles = spark.createDataFrame([(1, 1, "text_flow_page")], "doc_id long, page long, page_role string")
+    review = spark.createDataFrame([(1, 1, "include"), (1, 2, "include")], "doc_id long, page long, action string")
+    refs = spark.createDataFrame([(1, "u1", 7, "1"), (1, "u1", 8, "2"), (1, "u1", 9, "3")], "doc_id long, unit_id string, ref_id long, marker string")
+    b = graph.book(units, roles, review, refs)
+    assert "Window" not in plan(b["edges"]) and "Window" not in plan(b["references"])  # the units' passes for every reader of the nodes
+    assert [(r["ref_id"], r["note_id"], r["placement"]) for r in b["references"].orderBy("ref_id").collect()] == [(7, "n000002", "page_foot"), (8, "n000004", "note_section"), (9, None, None)]
+    assert b["edges"].where("edge_type = 'references_note'").count() == 2 and b["edges"].count() == 6
+    slim = notes.resolve_on_page(refs.selectExpr("doc_id", "ref_id", "1L AS page", "marker"), spark.createDataFrame([(1, 5, 1, "1")], "doc_id long, note_id long, page long, marker string"))
+    assert {(r["ref_id"], r["marker"], r["status"]) for r in slim.collect()} == {(7, "1", "resolved"), (8, "2", "unresolved"), (9, "3", "unresolved")}
