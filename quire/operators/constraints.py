@@ -21,6 +21,12 @@ def where(rows: DataFrame, rule: str, broken: Column, detail: Column) -> DataFra
     return rows.where(broken).select("doc_id", F.lit(rule).alias("rule"), detail.cast("string").alias("detail"))
 
 
+def broken(rows: DataFrame, rules: dict[str, Column], detail: Column) -> DataFrame:
+    """Several rules of one table, which is read once."""
+    found = F.array_compact(F.array(*[F.when(bad, rule) for rule, bad in rules.items()]))
+    return rows.select("doc_id", F.explode(found).alias("rule"), detail.cast("string").alias("detail"))
+
+
 def required(rows: DataFrame, fields: list[str], detail: Column) -> DataFrame:
     return every([where(rows, f"required:{f}", F.col(f).isNull() | (F.col(f).cast("string") == ""), detail) for f in fields])
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.constraints import every, increasing, lost, references, required, same_set, unique, where
+from quire.operators.constraints import broken, every, increasing, lost, references, required, same_set, unique, where
 from quire.operators.folds import joined
 
 # Domains of the contracts.
@@ -163,11 +163,11 @@ def note_resolution(relations: DataFrame, unresolved: DataFrame, refs: DataFrame
     placed = relations.select("doc_id", "reference_id").union(unresolved.select("doc_id", "reference_id"))
     r = refs.select("doc_id", "reference_id", *[F.col(c).alias(f"r_{c}") for c in ("system_id", "marker", "section_id", "page")])
     d = definitions.select("doc_id", "definition_id", *[F.col(c).alias(f"d_{c}") for c in ("system_id", "marker", "section_id", "page")])
-    both = relations.join(r, ["doc_id", "reference_id"]).join(d, ["doc_id", "definition_id"])
+    both = joined(joined(relations, r, ["doc_id", "reference_id"]), d, ["doc_id", "definition_id"])
     differ = lambda c: ~F.col(f"r_{c}").eqNullSafe(F.col(f"d_{c}"))
     at = F.col("reference_id")
     scope = ((F.col("scope") == "page") & differ("page")) | ((F.col("scope") == "chapter") & differ("section_id"))
-    return every([same_set(refs, placed, "reference_id"), references(relations, "definition_id", definitions, "definition_id"), where(both, "system", differ("system_id"), at), where(both, "marker", differ("marker"), at), where(both, "scope", scope, at)])
+    return every([same_set(refs, placed, "reference_id"), references(relations, "definition_id", definitions, "definition_id"), broken(both, {"system": differ("system_id"), "marker": differ("marker"), "scope": scope}, at)])
 
 
 def bundle(artifacts: DataFrame, names: list[str]) -> DataFrame:

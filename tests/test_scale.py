@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire import workflow
-from quire.operators import chunking, constraints, epub, flow, folds, graph, notes, skeleton, vectors, visuals
+from quire.operators import chunking, constraints, contracts, epub, flow, folds, graph, notes, skeleton, vectors, visuals
 from quire.sources import html
 from tests import test_epub
 
@@ -92,6 +92,15 @@ def test_tasks_grow_with_the_files(spark, monkeypatch):
         assert made.count() == 0
 
 
+def test_notes_are_joined_once(spark, monkeypatch):
+    rows = many(spark, 20_000, "concat('x', id) AS key", "id", "id % 3 AS page")
+    monkeypatch.setattr(folds, "TASK_BYTES", 20_000)
+    both = rows.selectExpr("doc_id", "key AS reference_id", "key AS definition_id", "'s' AS system_id", "if(id = 7, 'o', 'm') AS marker", "'c' AS section_id", "page")
+    made = contracts.note_resolution(both.selectExpr("doc_id", "reference_id", "'x7' AS definition_id", "'page' AS scope").where("doc_id = 0"), both.where("doc_id > 0"), both, both)
+    assert plan(made).count("SortMergeJoin") + plan(made).count("HashJoin") <= 2  # one pass over relations and their notes, not one for each rule
+    assert made.groupBy("rule").count().orderBy("rule").collect() == [("marker", 9), ("scope", 7)]
+
+
 def test_book_is_made_once(spark):
     units = spark.createDataFrame([(1, 1, "u1", "paragraph", "said", 1, [1], None, None), (1, 2, "u2", "footnote", "1. foot", 1, [1], None, None), (1, 3, "u3", "heading", "Notes", 2, [2], None, None), (1, 4, "u4", "paragraph", "2. end", 2, [2], None, None)], "doc_id long, ord long, unit_id string, unit_type string, text string, page long, pages array<long>, bbox array<double>, marker string")
     roles = spark.createDataFrame([(1, 1, "text_flow_page")], "doc_id long, page long, page_role string")
