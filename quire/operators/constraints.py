@@ -79,9 +79,14 @@ def boxes(rows: DataFrame, field: str, detail: Column) -> DataFrame:
 
 def same_set(known: DataFrame, placed: DataFrame, field: str) -> DataFrame:
     """Complete partition: what is known is placed, once, and nothing else is."""
-    a, b = known.select("doc_id", field), placed.select("doc_id", field)
-    lost, extra = a.exceptAll(b), b.exceptAll(a)
-    return where(lost, f"missing:{field}", F.lit(True), F.col(field)).union(where(extra, f"extra:{field}", F.lit(True), F.col(field)))
+    both = known.select("doc_id", field, F.lit(1).alias("_known")).union(placed.select("doc_id", field, F.lit(0)))
+    r, w = _in_order(both, ["doc_id", field], F.desc("_known"))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    r = r.withColumns({"_at": F.row_number().over(w), "_n": F.count(F.lit(1)).over(whole), "_of": F.sum("_known").over(whole)})
+    # Of a key's rows the first _of are known and as many placed are owed: the surplus of either side is over its rule.
+    over = F.when(F.col("_known") == 1, F.col("_at") <= 2 * F.col("_of") - F.col("_n")).otherwise(F.col("_at") > 2 * F.col("_of"))
+    rule = F.when(F.col("_known") == 1, f"missing:{field}").otherwise(f"extra:{field}")
+    return r.where(over).select("doc_id", rule.alias("rule"), F.col(field).cast("string").alias("detail"))
 
 
 def every(parts: list[DataFrame]) -> DataFrame:

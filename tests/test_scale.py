@@ -86,8 +86,9 @@ def test_tasks_grow_with_the_files(spark, monkeypatch):
     monkeypatch.setattr(folds, "TASK_BYTES", 20_000)
     few = folds.tasks(rows.limit(1))
     assert few > 4 and folds.tasks(rows, rows) >= 2 * few - 1 and folds.tasks(rows.union(rows)) >= 2 * few - 1 and folds.tasks(spark.range(5)) >= 1
+    u = rows.select("doc_id", F.col("key").alias("unit_id"), "n")
     book = graph.records(rows.selectExpr("doc_id", "n AS ord", "key AS unit_id", "'p' AS unit_type", "key AS text", "1 AS page", "array(1D) AS bbox"))
-    for made in (constraints.unique(rows, "key"), constraints.references(rows, "key", rows, "key"), constraints.graph(book["nodes"], book["edges"], book["evidence"])):
+    for made in (constraints.unique(rows, "key"), constraints.references(rows, "key", rows, "key"), constraints.same_set(rows, rows, "key"), constraints.graph(book["nodes"], book["edges"], book["evidence"]), contracts.section_links(u.withColumn("section_id", F.lit("s")), u, u.withColumn("section_id", F.lit("s")))):
         assert "Join" not in plan(made) and made.rdd.getNumPartitions() >= few  # else as many tasks as the session has, however large the input
         assert made.count() == 0
 
@@ -101,6 +102,16 @@ def test_notes_are_joined_once(spark, monkeypatch):
     assert made.groupBy("rule").count().orderBy("rule").collect() == [("marker", 9), ("scope", 7)]
 
 
+def test_surplus_of_either_side(spark):
+    rows = lambda *x: spark.createDataFrame(list(x), "doc_id long, key string")
+    known = rows((1, "a"), (1, "a"), (1, "b"), (1, "d"), (1, None), (None, "n"), (2, "a"))
+    placed = rows((1, "a"), (1, "b"), (1, "b"), (1, "b"), (1, "c"), (None, "n"), (None, None))
+    got = sorted(map(tuple, constraints.same_set(known, placed, "key").collect()), key=str)
+    assert got == sorted([(1, "missing:key", "a"), (1, "extra:key", "b"), (1, "extra:key", "b"), (1, "missing:key", "d"), (1, "missing:key", None), (1, "extra:key", "c"), (None, "extra:key", None), (2, "missing:key", "a")], key=str)
+    assert sorted(map(tuple, constraints.unique(placed.union(placed), "key").where("doc_id IS NOT NULL").collect())) == [(1, "unique:key", x) for x in "abc"]
+    assert sorted(map(tuple, constraints.references(known, "key", placed, "key").collect()), key=str) == [(1, "reference:key", "d"), (2, "reference:key", "a"), (None, "reference:key", "n")]
+
+
 def test_book_is_made_once(spark):
     units = spark.createDataFrame([(1, 1, "u1", "paragraph", "said", 1, [1], None, None), (1, 2, "u2", "footnote", "1. foot", 1, [1], None, None), (1, 3, "u3", "heading", "Notes", 2, [2], None, None), (1, 4, "u4", "paragraph", "2. end", 2, [2], None, None)], "doc_id long, ord long, unit_id string, unit_type string, text string, page long, pages array<long>, bbox array<double>, marker string")
     roles = spark.createDataFrame([(1, 1, "text_flow_page")], "doc_id long, page long, page_role string")
