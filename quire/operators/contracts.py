@@ -144,7 +144,7 @@ def section_map(sections: DataFrame, evidence: DataFrame, pages: DataFrame) -> D
     sections: doc_id, section_id, ord, parent_id, first, last.
     """
     p = sections.select("doc_id", F.col("section_id").alias("parent_id"), F.col("ord").alias("_ord"), F.col("first").alias("_first"), F.col("last").alias("_last"))
-    child = sections.join(p, ["doc_id", "parent_id"])
+    child = joined(sections, p, ["doc_id", "parent_id"])
     ends = sections.select("doc_id", F.explode(F.array_distinct(F.array("first", "last"))).alias("page")).distinct()
     around = (F.col("_first") <= F.col("first")) & (F.col("last") <= F.col("_last")) & (F.col("_ord") < F.col("ord"))
     return every([unique(sections, "section_id"), where(sections, "range", F.col("first") > F.col("last"), F.col("section_id")), references(sections, "parent_id", sections, "section_id"), where(child, "nesting", ~around, F.col("section_id")), references(ends, "page", pages, "page"), lost(sections, evidence, "section_id", "evidence")])

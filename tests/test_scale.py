@@ -102,6 +102,15 @@ def test_notes_are_joined_once(spark, monkeypatch):
     assert made.groupBy("rule").count().orderBy("rule").collect() == [("marker", 9), ("scope", 7)]
 
 
+def test_section_map_is_dealt(spark, monkeypatch):
+    rows = many(spark, 20_000, "concat('x', id) AS key", "id", "id % 3 AS page")
+    monkeypatch.setattr(folds, "TASK_BYTES", 20_000)
+    sections = rows.selectExpr("doc_id", "key AS section_id", "id AS ord", "if(id % 10 = 0, NULL, concat('x', id - id % 10)) AS parent_id", "page AS first", "if(id = 13, 2, page) AS last")
+    made = contracts.section_map(sections, sections.where("ord <> 15"), sections.selectExpr("doc_id", "explode(array(0, 1, 2)) AS page"))
+    assert plan(made).count("REPARTITION_BY_NUM") >= 5 and plan(made).count("Join") <= 1
+    assert made.where("rule = 'evidence'").collect() == [(1, "evidence", "x15")] and made.where("rule = 'reference:parent_id'").count() == 0
+
+
 def test_surplus_of_either_side(spark):
     rows = lambda *x: spark.createDataFrame(list(x), "doc_id long, key string")
     known = rows((1, "a"), (1, "a"), (1, "b"), (1, "d"), (1, None), (None, "n"), (2, "a"))
