@@ -86,7 +86,7 @@ def book(units: DataFrame, roles: DataFrame, review: DataFrame, references: Data
     # References, notes and edges are read off the nodes: these are made and written once.
     scoped = folders.stored(nodes.withColumn("_scope", F.last(heading, ignorenulls=True).over(Window.partitionBy("doc_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0))), "nodes")
     nodes = scoped.drop("_scope")
-    r = references.select("doc_id", "unit_id", "ref_id", "marker").join(scoped.where("node_type <> 'note'").select("doc_id", "unit_id", "node_id", "page", F.col("_scope").alias("scope_key")), ["doc_id", "unit_id"])
+    r = references.select("doc_id", "unit_id", "ref_id", "marker").join(scoped.where("node_type <> 'note'").select("doc_id", "unit_id", "node_id", "page", F.col("_scope").alias("scope_key")).hint("merge"), ["doc_id", "unit_id"])  # packed ids look small enough to broadcast and are not
     notes = nodes.where("node_type = 'note' AND coalesce(note_marker, '') <> ''").select("doc_id", F.col("node_id").alias("note_id"), "page", F.col("note_marker").alias("marker"), "scope", F.coalesce("note_scope_key", F.lit("")).alias("scope_key"), "placement")
     found = N.with_scoped_notes(N.with_page_notes(r, notes.where("placement = 'page_foot'")), notes.where("placement <> 'page_foot'"))
     page_note, scope_note = F.when(F.col("_note") == F.col("_last"), F.col("_note")), F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))
